@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laudaria.llm import spans
+from laudaria.llm import encoding, lookalike, mixing, packing, spans
 from laudaria.runtime import table
 
 DII = "tb_diamond_mod_dii_saida"
@@ -15,6 +16,55 @@ NEURO = "tb_diamond_mod_neuroimunologia_saida"
 COLON = "tb_diamond_mod_dii_colonoscopia_saida"
 
 
+def _texts(spark: SparkSession, sf_dir: str, tables: list[str], field: str = "exm_laudo_texto") -> DataFrame:
+    """``tabela, exm_an, text`` of one field of several tables."""
+    parts = [table(spark, sf_dir, t).select(F.lit(t).alias("tabela"), "exm_an", F.col(field).alias("text")) for t in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, treated = _texts(spark, sf_dir, [NEURO]), _texts(spark, sf_dir, [COLON], "exm_laudo_texto_tratado")
+    trigrams = lookalike.model(report.unionByName(treated))
+    other = encoding.affected(report, ["tabela", "exm_an"]).select("tabela", "exm_an")
+    first = lookalike.found(report, ["tabela", "exm_an"], trigrams=trigrams).join(other, ["tabela", "exm_an"], "left_anti")
+    return first.unionByName(lookalike.found(treated, ["tabela", "exm_an"], trigrams=trigrams)).filter("exm_an is not null")
+
+
+def p4_uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _texts(spark, sf_dir, [NEURO]).unionByName(_texts(spark, sf_dir, [COLON], "exm_laudo_texto_tratado"))
+    return lookalike.normalize(texts, ["tabela", "exm_an"]).select("tabela", "exm_an", "uniform")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.affected(_texts(spark, sf_dir, [NEURO, COLON]), ["tabela", "exm_an"]).select("tabela", "exm_an").filter("exm_an is not null")
+
+
+def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.restore(_texts(spark, sf_dir, [NEURO, COLON]), ["tabela", "exm_an"]).select("tabela", "exm_an", "restored", "left_over")
+
+
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "recipientes"))
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill(p7_packed(spark, sf_dir))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple]]:
+    records = mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    planned = mixing.plan(records, table(spark, sf_dir, "pesos_fontes"))
+    return mixing.mix(records, planned), planned
+
+
+def p8_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[0].withColumnRenamed("id", "doc_id")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(*_mixed(spark, sf_dir))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_shared(spark, sf_dir).filter("shared_chars > 0").select("doc_id")
 
@@ -24,6 +74,14 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p4_found": p4_found,
+    "p4_uniform": p4_uniform,
+    "p6_found": p6_found,
+    "p6_restored": p6_restored,
+    "p7_packed": p7_packed,
+    "p7_fill": p7_fill,
+    "p8_mixed": p8_mixed,
+    "p8_shares": p8_shares,
     "p9_found": p9_found,
     "p9_shared": p9_shared,
 }
