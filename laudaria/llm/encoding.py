@@ -20,7 +20,8 @@ Defined results: null and empty texts are never affected and stay as they are; r
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
+from functools import cache
+from itertools import combinations, product
 
 import pandas as pd
 import pyarrow as pa
@@ -37,7 +38,7 @@ LOST = ("?", "�")
 #: Letters of an ordinary word, and what parts tokens (ASCII signs and controls but the question mark).
 ACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçñÁÀÂÃÉÊÍÓÔÕÚÜÇÑ"
 CLEAN = "^([A-Za-z]?[a-záàâãéêíóôõúüçñ]+|[A-ZÁÀÂÃÉÊÍÓÔÕÚÜÇÑ][a-záàâãéêíóôõúüçñ]*|[A-ZÁÀÂÃÉÊÍÓÔÕÚÜÇÑ]+)$"
-PARTS = "[\\x00-\\x20!-/:->@\\[-`{-\\x7f]+"
+PARTS = "(?:\\\\[nrt]|[\\x00-\\x20!-/:->@\\[-`{-\\x7f])+"  # a line break may be written out as two signs
 LONGEST = 60  #: tokens longer than this are no words
 
 
@@ -55,20 +56,33 @@ def _read(raw: bytes, encoding: str) -> str:
         return "".join(out)
 
 
-def garbled(word: str) -> set[str]:
-    """All forms of a word under the chains, without the word itself."""
-    forms: set[str] = set()
+@cache
+def _chains(letter: str) -> dict[str, str]:
+    """The forms of one letter, by chain."""
+    forms: dict[str, str] = {}
     for written, read in product(WRITTEN, READ):
         try:
-            once = _read(word.encode(written), read)
+            once = _read(letter.encode(written), read)
         except UnicodeEncodeError:
             continue
-        forms.add(once)
+        forms[f"{written}>{read}"] = once
         if written == "utf-8" and read in TWICE:
-            forms.update(_read(once.encode("utf-8"), again) for again in TWICE)
+            for again in TWICE:
+                forms[f"{written}>{read}>{again}"] = _read(once.encode("utf-8"), again)
     for sign in LOST:
-        forms.add("".join(sign if ord(c) > 127 else c for c in word))
-        forms.add("".join(sign * len(c.encode("utf-8")) if ord(c) > 127 else c for c in word))
+        forms[sign] = sign
+        forms[sign * 2] = sign * len(letter.encode("utf-8"))
+    return forms
+
+
+def garbled(word: str) -> set[str]:
+    """All forms of a word under the chains, without the word itself; some of its letters may have been spared."""
+    at = [i for i, c in enumerate(word) if ord(c) > 127]
+    if not at:
+        return set()
+    some = [set(x) for k in range(1, len(at) + 1) for x in combinations(at, k)] if len(at) <= 4 else [set(at), *({i} for i in at)]
+    every = set.intersection(*(set(_chains(word[i])) for i in at))
+    forms = {"".join(_chains(c)[chain] if i in hit else c for i, c in enumerate(word)) for hit in some for chain in every}
     for form in list(forms):  # invisible characters are often dropped on the way
         forms.add("".join(c for c in form if not (0x7F <= ord(c) <= 0xA0 or ord(c) == 0xAD)))
     forms.discard(word)
@@ -141,7 +155,7 @@ def restore(texts: DataFrame, keys: list[str], text_col: str = "text", broadcast
     def put_back(text: pd.Series, fix: pd.Series) -> pd.Series:
         import re
 
-        parts = re.compile("([\\x00-\\x20!-/:->@\\[-`{-\\x7f]+)")
+        parts = re.compile(f"({PARTS})")
 
         def one(t, pairs):
             if t is None or pairs is None or len(pairs) == 0:
