@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laudaria.llm import encoding, lookalike, mixing, packing, spans
+from laudaria.llm import encoding, history, lookalike, mixing, packing, spans
 from laudaria.runtime import table
 
 DII = "tb_diamond_mod_dii_saida"
@@ -22,6 +22,12 @@ def _texts(spark: SparkSession, sf_dir: str, tables: list[str], field: str = "ex
     return reduce(DataFrame.unionByName, parts)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reports = table(spark, sf_dir, COLON).select("exm_an", "dataExecucaoModelo", "exm_laudo_texto")
+    judged = history.replay(reports, "exm_an", "dataExecucaoModelo", "exm_laudo_texto")
+    return judged.filter("rejected").select(F.col("ident").alias("exm_an"), F.date_format("date", "yyyy-MM-dd").alias("data_execucao"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     report, treated = _texts(spark, sf_dir, [NEURO]), _texts(spark, sf_dir, [COLON], "exm_laudo_texto_tratado")
     trigrams = lookalike.model(report.unionByName(treated))
@@ -74,6 +80,7 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_uniform": p4_uniform,
     "p6_found": p6_found,
