@@ -5,10 +5,10 @@ its own keys, reads only the buckets it has keys in, keeps the pairs that share
 signatures agree, compares their words, and appends what it accepts. The history's texts are read
 only where a key matches; nothing of the history is computed again.
 
-The order is that of the rows (date, identifier, text). Inside a batch the sequential rule is met in rounds: a record
-that is first in all of its buckets among the undecided has no earlier rival left and is accepted; every
-undecided record that shares a bucket with a newly accepted one is compared with it; and so on. A bucket has at most
-one newly accepted record in a round, so a bucket that holds a third of all rows costs one comparison per row
+The order is that of the rows (date, identifier, text). Inside a batch, records of one bucket of at most ``small_bucket`` are compared
+with each other, and the sequential rule is met in rounds: an undecided record that has no earlier undecided
+match is accepted, its later matches are rejected, and so on. In a larger bucket only the first undecided record can be accepted in a round and
+the others are compared with that one alone, so a bucket that holds a third of all rows costs one comparison per row
 and round, and is never one task. All in all the outcome is that of taking the rows one by one.
 
 Similarity: word edit distance of at most ``max_differ`` of the longer text, words compared without case, accents,
@@ -211,15 +211,15 @@ class History:
 
 
 def _confirmed(met: DataFrame, left: DataFrame, right: DataFrame, max_differ: float) -> DataFrame:
-    """Nodes of ``left`` that match: of the pairs (node, other, by_ident) that share a key, those whose identifiers or words agree."""
+    """Of the pairs (node, other, by_ident) that share a key, those whose identifiers or words agree: node of ``left``, other of ``right``."""
     pairs = met.groupBy("node", "other").agg(F.bool_or("by_ident").alias("by_ident"))
     near = pairs.filter("not by_ident").join(left.select("node", "sketch"), "node").join(right.select(F.col("node").alias("other"), F.col("sketch").alias("sketch2")), "other")
     near = near.filter(_agree()("sketch", "sketch2")).select("node", "other")
     texts = near.join(left.select("node", "words"), "node").join(right.select(F.col("node").alias("other"), F.col("words").alias("words2")), "other")
-    return pairs.filter("by_ident").select("node").unionByName(texts.filter(_same(max_differ)("words", "words2")).select("node")).distinct()
+    return pairs.filter("by_ident").select("node", "other").unionByName(texts.filter(_same(max_differ)("words", "words2")).select("node", "other"))
 
 
-def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str, max_differ: float = 0.1, most_rounds: int = 200) -> DataFrame:
+def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str, max_differ: float = 0.1, small_bucket: int = 64, most_rounds: int = 1000) -> DataFrame:
     """Check a batch against the history and within itself; append what is accepted.
 
     Returns ``ident, date, rejected`` with one row per distinct (identifier, date): rejected if any of its rows was.
@@ -238,24 +238,38 @@ def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str,
     if old is not None:  # probe the buckets that the batch has keys in
         buckets = [r[0] for r in keys.select(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("b")).distinct().collect()]  # at most BUCKETS
         known = old.filter(F.col("bucket").isin(buckets)).select("key", F.col("node").alias("other"))
-        parts.append(cut(_confirmed(keys.join(known, "key").select("node", "other", "by_ident"), nodes, history.texts(), max_differ)))
+        parts.append(cut(_confirmed(keys.join(known, "key").select("node", "other", "by_ident"), nodes, history.texts(), max_differ).select("node").distinct()))
 
     fresh = keys.join(parts[0], "node", "left_anti") if parts else keys
     placed = fresh.repartition("key")
-    shared = placed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
+    shared = placed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     order = F.struct(F.coalesce(F.col("date").cast("string"), F.lit("")).alias("d"), F.coalesce("ident", F.lit("")).alias("i"), "node").alias("ord")
-    open_ = cut(placed.join(shared, "key", "left_semi").join(nodes.select("node", order), "node"))
+    met = cut(placed.join(shared, "key").join(nodes.select("node", order), "node"))
+    small, hot = met.filter(F.col("n") <= small_bucket), met.filter(F.col("n") > small_bucket)
+    later = small.select("key", "node", "by_ident", "ord").join(small.select("key", F.col("node").alias("other"), F.col("ord").alias("before")), "key").filter("before < ord")
+    links = cut(_confirmed(later.select("node", "other", "by_ident"), nodes, nodes, max_differ))  # node comes after other
+    crowded = not hot.isEmpty()
+    open_ = links.select("node").unionByName(links.select(F.col("other").alias("node")))
+    open_ = cut((open_.unionByName(hot.select("node")) if crowded else open_).distinct())
     for _ in range(most_rounds):
         if open_.isEmpty():
             break
-        first = open_.groupBy("key").agg(F.min("ord").alias("first"))
-        lead = open_.select("key", "node", "ord").join(first, "key").groupBy("node").agg(F.bool_and(F.col("ord") == F.col("first")).alias("lead"))
-        marked = cut(open_.join(lead, "node"))
-        rest = marked.filter("not lead").drop("lead")
-        met = rest.join(marked.filter("lead").select("key", F.col("node").alias("other")), "key").select("node", "other", "by_ident")
-        out = cut(_confirmed(met, nodes, nodes, max_differ))
+        left = links.join(open_, "node", "left_semi").join(open_.select(F.col("node").alias("other")), "other", "left_semi")
+        waits = left.select("node")
+        if crowded:  # only the first of a crowded bucket can be taken
+            there = hot.join(open_, "node", "left_semi")
+            first = there.groupBy("key").agg(F.min("ord").alias("first"))
+            waits = waits.unionByName(there.join(first, "key").filter("ord > first").select("node"))
+        taken = open_.join(waits.distinct(), "node", "left_anti")
+        out = left.join(taken.select(F.col("node").alias("other")), "other", "left_semi").select("node")
+        if crowded:
+            taken = cut(taken)
+            ahead = there.join(taken, "node", "left_semi").select("key", F.col("node").alias("other"))
+            behind = there.join(taken, "node", "left_anti").join(ahead, "key").select("node", "other", "by_ident")
+            out = out.unionByName(_confirmed(behind, nodes, nodes, max_differ).select("node"))
+        out = cut(out.distinct())
         parts.append(out)
-        open_ = rest.join(out, "node", "left_anti")
+        open_ = cut(open_.join(taken, "node", "left_anti").join(out, "node", "left_anti"))
     else:
         raise RuntimeError(f"undecided records after {most_rounds} rounds")
     bad = reduce(DataFrame.unionByName, parts) if parts else nodes.select("node").limit(0)

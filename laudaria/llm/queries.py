@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laudaria.llm import encoding, history, lookalike, mixing, packing, spans
+from laudaria.llm import encoding, history, lookalike, mixing, packing, residue, spans
 from laudaria.runtime import table
 
 DII = "tb_diamond_mod_dii_saida"
@@ -22,6 +22,19 @@ def _texts(spark: SparkSession, sf_dir: str, tables: list[str], field: str = "ex
     return reduce(DataFrame.unionByName, parts)
 
 
+def _hosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [table(spark, sf_dir, t).select(F.lit(t).alias("tabela"), "exm_an", F.col("idunidade").alias("host"), F.col("exm_laudo_texto").alias("text")) for t in (DII, NEURO, COLON)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.found(_hosted(spark, sf_dir), ["tabela", "exm_an"]).filter("exm_an is not null")
+
+
+def p2_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.mark(_hosted(spark, sf_dir), ["tabela", "exm_an"]).select("tabela", "exm_an", F.array_join("kinds", ",").alias("motivos"), (F.size("kinds") == 0).alias("fica"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = table(spark, sf_dir, COLON).select("exm_an", "dataExecucaoModelo", "exm_laudo_texto")
     judged = history.replay(reports, "exm_an", "dataExecucaoModelo", "exm_laudo_texto")
@@ -80,6 +93,8 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": p2_found,
+    "p2_marked": p2_marked,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_uniform": p4_uniform,
