@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laudaria.llm import encoding, history, lookalike, mixing, packing, residue, spans
+from laudaria.llm import encoding, history, lookalike, mixing, packing, pii, residue, spans
 from laudaria.runtime import table
 
 DII = "tb_diamond_mod_dii_saida"
@@ -54,6 +54,24 @@ def p4_uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.normalize(texts, ["tabela", "exm_an"]).select("tabela", "exm_an", "uniform")
 
 
+def _both_fields(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    reports = table(spark, sf_dir, NEURO)
+    fields = [reports.select("exm_an", F.lit(f).alias("campo"), F.col(f).alias("text")) for f in ("exm_laudo_texto", "exm_laudo_texto_tratado")]
+    return fields[0].unionByName(fields[1]), pii.name_words(reports, "pct_nome")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(*_keyed(*_both_fields(spark, sf_dir))).filter("exm_an is not null")
+
+
+def _keyed(texts: DataFrame, words: DataFrame) -> tuple[DataFrame, list[str], DataFrame]:
+    return texts, ["exm_an", "campo"], words
+
+
+def p5_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redact(*_keyed(*_both_fields(spark, sf_dir)), table(spark, sf_dir, "marcadores_pii")).select("exm_an", "campo", F.array_join("kinds", ",").alias("tipos"), F.col("clean").alias("texto"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.affected(_texts(spark, sf_dir, [NEURO, COLON]), ["tabela", "exm_an"]).select("tabela", "exm_an").filter("exm_an is not null")
 
@@ -98,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_uniform": p4_uniform,
+    "p5_found": p5_found,
+    "p5_redacted": p5_redacted,
     "p6_found": p6_found,
     "p6_restored": p6_restored,
     "p7_packed": p7_packed,
