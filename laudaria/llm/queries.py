@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laudaria.llm import encoding, history, lookalike, mixing, packing, pii, residue, spans
+from laudaria.llm import encoding, history, lookalike, mixing, packing, pii, residue, scans, spans
 from laudaria.runtime import table
 
 DII = "tb_diamond_mod_dii_saida"
@@ -22,6 +22,20 @@ def _texts(spark: SparkSession, sf_dir: str, tables: list[str], field: str = "ex
     return reduce(DataFrame.unionByName, parts)
 
 
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, DII).select("exm_an", F.col("exm_laudo_texto").alias("text"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _scanned(spark, sf_dir)
+    return scans.Noise(texts).found(texts, ["exm_an"]).filter("exm_an is not null")
+
+
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _scanned(spark, sf_dir)
+    return scans.Noise(texts).repair(texts, ["exm_an"]).select("exm_an", "repaired")
+
+
 def _hosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [table(spark, sf_dir, t).select(F.lit(t).alias("tabela"), "exm_an", F.col("idunidade").alias("host"), F.col("exm_laudo_texto").alias("text")) for t in (DII, NEURO, COLON)]
     return reduce(DataFrame.unionByName, parts)
@@ -111,6 +125,8 @@ def p9_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_repaired": p1_repaired,
     "p2_found": p2_found,
     "p2_marked": p2_marked,
     "p3_found": p3_found,
