@@ -47,12 +47,13 @@ _WORD = f"[{LETTERS}0-9@!|$ﬁﬂ]*[{LETTERS}@!|$ﬁﬂ][{LETTERS}0-9@!|$ﬁﬂ]
 _TOKEN = re.compile(_WORD)
 _LINES = re.compile(r"\r\n|\\r\\n|\\n|\n|\x0c(?=.)|<br ?/?>")
 Q = 3
+_PLAIN = str.maketrans("áàâãéêíóôõúç", "aaaaeeiooouc")
 
 _PAGE = re.compile(r"(?i)(?<![a-z])(?:p\s*[aáà@]\s*g\s*(?:i\s*n\s*a)?s?|fl|fls|folhas?|page|sheet)(?![a-z])")
-_PAGE_LINE = re.compile(r"(?i)^[\W_]*(?:(?:p\s*[aáà@4]\s*[g9]\s*(?:[i1!l]\s*n\s*[a@4])?|fls?|folha|page)[\W_]*)?\d{1,4}(?:\s*(?:/|de|of|-|\|)\s*\d{1,4})?[\W_]*$")
+_PAGE_LINE = re.compile(r"(?i)^[\W_]*(?:(?:p\s*[aáà@4]\s*[g9]\s*(?:[i1!l]\s*n\s*[a@4])?|fls?|folha|page)[\W_]*)?\d{1,4}(?:\s*(?:/|de|of|-|\|)\s*\d{1,4})?[\s\-–—\]|_>]*$")
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.3) -> list:
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, rate: float = 0.3) -> list:
     """Gradient-boosted trees for two classes over a small matrix: a list of trees."""
     score, trees = np.zeros(len(y)), []
 
@@ -179,7 +180,8 @@ def corrections(counts: DataFrame, ratio: float = 12.0, least_length: int = 4, t
         for b in batches:
             x = np.array([_features(*t) for t in zip(b["word"], b["meant"], b["n"], b["n_meant"], strict=True)], float).reshape(len(b), 8)
             p = predict(model, x)
-            keep = (p >= accept) & (x[:, 1] == 0)
+            plain = [str.translate(w, _PLAIN) == str.translate(m, _PLAIN) for w, m in zip(b["word"], b["meant"], strict=True)]  # only without its accents
+            keep = (p >= accept) & (x[:, 1] == 0) & ~np.array(plain, bool)
             yield pd.DataFrame({"word": b["word"][keep], "meant": b["meant"][keep], "p": p[keep], "n_meant": b["n_meant"][keep]})
 
     ranked = pairs.mapInPandas(rank, "word string, meant string, p double, n_meant long")
@@ -382,8 +384,8 @@ class Noise:
         self.counts = cut(word_counts(texts, text_col))
         meant, self.word_model = corrections(self.counts, training_rows=training_rows)
         self.meant = self._sized(cut(meant))
-        clean = texts.filter(F.col(text_col).isNotNull() & ~F.col(text_col).rlike("\\x0c|(?i:p[aá]g|folha|fl\\.)")).select(text_col)
-        self.line_model = fit_lines([r[0] for r in clean.filter(F.length(text_col).between(200, 20000)).orderBy(F.md5(text_col)).limit(training_rows // 20).collect()])
+        clean = texts.filter(F.col(text_col).isNotNull() & ~F.col(text_col).rlike("\\x0c|(?i:p\\s?[aá]\\s?g|folha|\\bfls?\\b)|(?m:^[^\\p{L}\\n]*\\d{1,4}[^\\p{L}\\n]*$)")).select(text_col)  # fit on texts without any line that could be furniture
+        self.line_model = fit_lines([r[0] for r in clean.filter(F.length(text_col).between(200, 20000)).orderBy(F.md5(text_col)).limit(training_rows // 10).collect()])
         common = self.counts.filter(F.col("word").rlike(f"^[{LETTERS}]+(-[{LETTERS}]+)?$")).orderBy(F.desc("texts"), "word").limit(training_rows // 2).collect()
         self.total = max([r[1] for r in common], default=0)
         self.halves_model = fit_halves({r[0]: r[1] for r in common}, self.total)
