@@ -181,7 +181,11 @@ def without_stop_words(c: Column, stop: list[str], keep: list[str]) -> Column:
 
 def ngrams(c: Column, most: int = 3, least_length: int = 3) -> Column:
     """Distinct runs of up to ``most`` words of at least ``least_length`` letters."""
-    w = F.filter(words(c), lambda x: x.rlike("^[a-z]+$") & (F.length(x) >= least_length))
+    kept = F.filter(words(c), lambda x: x.rlike("^[a-z]+$") & (F.length(x) >= least_length))
+    return F.get(F.transform(F.array(kept), lambda w: _runs(w, most)), 0)  # the words are worked out once
+
+
+def _runs(w: Column, most: int) -> Column:
     runs = [F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i, k=k: F.array_join(F.slice(w, i, k), " "))).otherwise(F.array().cast("array<string>")) for k in range(1, most + 1)]
     return F.array_distinct(F.concat(*runs))
 

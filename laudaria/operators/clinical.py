@@ -6,6 +6,7 @@ what belongs to one specialty lives in its configuration, not here.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +36,11 @@ def _terms(lexicon: Lexicon) -> Column:
     return F.array(*(F.struct(F.lit(k).alias("finding"), F.array(*(F.lit(w) for w in t.split())).alias("term")) for k, terms in lexicon.findings.items() for t in terms))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def has_any(tokens: Column, terms: list[str]) -> Column:
     """Whether a token list holds any term: single words by membership, several as a run."""
     single = [t for t in terms if " " not in t]
@@ -67,13 +73,14 @@ def hits(tokens: Column, lexicon: Lexicon, strict_start: bool = False) -> Column
         here = F.filter(_terms(lexicon), lambda t: F.slice(tokens, i, F.size(t["term"])) == t["term"])
         return F.transform(here, one)
 
-    places = F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens))).otherwise(F.array().cast("array<int>"))
-    return F.flatten(F.transform(places, at))
+    first = F.array(*(F.lit(w) for w in sorted({t.split()[0] for terms in lexicon.findings.values() for t in terms})))
+    numbered = F.transform(tokens, lambda t, i: F.when(F.array_contains(first, t), i + 1))
+    return F.flatten(F.transform(F.filter(numbered, lambda i: i.isNotNull()), at))
 
 
 def find_in_sentences(text: Column, lexicon: Lexicon) -> Column:
     """Hits of every sentence of a text; a negator never reaches into the next sentence."""
-    return F.flatten(F.transform(sentences(text, "\\n+|(?<=[.;!?])\\s+"), lambda s: hits(words(s), lexicon)))
+    return F.flatten(F.transform(sentences(text, "\\n+|(?<=[.;!?])\\s+"), lambda s: let(words(s), lambda w: hits(w, lexicon))))
 
 
 def confidence(negated: Column) -> Column:
@@ -94,9 +101,9 @@ def assess_blocks(df: DataFrame, text: str, lexicon: Lexicon, strict_start: bool
     """
 
     def one(b: Column) -> Column:
-        found = F.when(norm_in_place(b).rlike("|".join(lexicon.keywords) or "^"), hits(words(b), lexicon, strict_start)).otherwise(F.array().cast("array<struct<finding:string,position:int,negated:boolean>>"))
+        found = F.when(norm_in_place(b).rlike("|".join(lexicon.keywords) or "^"), let(words(b), lambda w: hits(w, lexicon, strict_start))).otherwise(F.array().cast("array<struct<finding:string,position:int,negated:boolean>>"))
         good = F.array_sort(F.array_distinct(F.transform(F.filter(found, lambda h: ~h["negated"]), lambda h: h["finding"])))
-        return F.struct(b.alias("bloco"), (F.size(good) > 0).alias("relevante"), good.alias("achados"))
+        return let(good, lambda g: F.struct(b.alias("bloco"), (F.size(g) > 0).alias("relevante"), g.alias("achados")))
 
     out = df.withColumn("blocos", F.transform(blocks(F.col(text), _pattern(lexicon.organs)), one))
     return out.withColumn("relevante", F.coalesce(F.exists("blocos", lambda b: b["relevante"]), F.lit(False)))
@@ -124,13 +131,17 @@ def category(text: Column, before: int = 3, after: int = 2) -> Column:
     """
     t = F.regexp_replace(norm_in_place(text), "[^a-z0-9_\\s]", " ")
     t = F.regexp_replace(t, "(?<![a-z0-9_])(?:acr[ _]?)?b(?:i|r)[ _]?rads?(?![a-z0-9_])|(?<![a-z0-9_])birads?(?![a-z0-9_])", " bi_rads ")
-    w = F.filter(F.split(t, "\\s+"), lambda x: F.length(x) > 0)
-    keys = F.filter(F.transform(w, lambda x, i: F.when(x.rlike("^(?:bi_rads|birads|categoria)"), i + 1)), lambda x: x.isNotNull())
-    around = F.flatten(F.transform(keys, lambda k: F.concat(F.slice(w, F.greatest(k - before, F.lit(1)), k - F.greatest(k - before, F.lit(1))), F.slice(w, k + 1, F.lit(after)))))
     roman = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5"}
-    digits = F.filter(F.transform(around, lambda x: F.coalesce(*(F.when(x == r, d) for r, d in roman.items()), x)), lambda x: x.rlike("^[0-9]$"))
-    value = F.transform(digits, lambda d: F.when(d.isin("7", "8", "9"), F.lit(-1)).otherwise(d.cast("int")))
-    return F.when(F.size(keys) == 0, -1).when(F.size(digits) == 0, 0).when((F.size(digits) == 2) & F.array_contains(digits, "9"), -1).otherwise(F.array_max(value))
+
+    def judge(w: Column) -> Column:
+        keys = F.filter(F.transform(w, lambda x, i: F.when(x.rlike("^(?:bi_rads|birads|categoria)"), i + 1)), lambda x: x.isNotNull())
+        around = F.flatten(F.transform(keys, lambda k: F.concat(F.slice(w, F.greatest(k - before, F.lit(1)), k - F.greatest(k - before, F.lit(1))), F.slice(w, k + 1, F.lit(after)))))
+        digits = F.filter(F.transform(around, lambda x: F.coalesce(*(F.when(x == r, d) for r, d in roman.items()), x)), lambda x: x.rlike("^[0-9]$"))
+        value = lambda g: F.array_max(F.transform(g, lambda d: F.when(d.isin("7", "8", "9"), F.lit(-1)).otherwise(d.cast("int"))))
+        found = lambda g: F.when(F.size(g) == 0, 0).when((F.size(g) == 2) & F.array_contains(g, "9"), -1).otherwise(value(g))
+        return F.when(F.exists(w, lambda x: x.rlike("^(?:bi_rads|birads|categoria)")), let(digits, found)).otherwise(-1)
+
+    return let(F.filter(F.split(t, "\\s+"), lambda x: F.length(x) > 0), judge)
 
 
 def largest_measure(sentence: Column) -> Column:
