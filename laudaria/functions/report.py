@@ -186,8 +186,11 @@ def ngrams(c: Column, most: int = 3, least_length: int = 3) -> Column:
 
 
 def _runs(w: Column, most: int) -> Column:
-    runs = [F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i, k=k: F.array_join(F.slice(w, i, k), " "))).otherwise(F.array().cast("array<string>")) for k in range(1, most + 1)]
-    return F.array_distinct(F.concat(*runs))
+    def of(k: int) -> Column:
+        run = F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.array_join(F.slice(w, i, k), " "))
+        return F.when(F.size(w) >= k, run).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*(of(k) for k in range(1, most + 1))))
 
 
 HEADER = "^\\s*[-•*]?\\s*(\\p{Lu}[\\p{Lu} /]{2,60})\\s*:"

@@ -57,7 +57,10 @@ def hits(tokens: Column, lexicon: Lexicon, strict_start: bool = False) -> Column
     A hit is negated by a negator among the ``before`` tokens to its left, the ``after`` to its right, or at its own start.
     With ``strict_start`` a hit nearer to the start than ``before`` has no left side, as in slices that begin below zero.
     """
+    return let(tokens, lambda bound: _hits(bound, lexicon, strict_start))
 
+
+def _hits(tokens: Column, lexicon: Lexicon, strict_start: bool) -> Column:
     def at(i: Column) -> Column:
         def one(t: Column) -> Column:
             k = F.size(t["term"])
@@ -80,7 +83,7 @@ def hits(tokens: Column, lexicon: Lexicon, strict_start: bool = False) -> Column
 
 def find_in_sentences(text: Column, lexicon: Lexicon) -> Column:
     """Hits of every sentence of a text; a negator never reaches into the next sentence."""
-    return F.flatten(F.transform(sentences(text, "\\n+|(?<=[.;!?])\\s+"), lambda s: let(words(s), lambda w: hits(w, lexicon))))
+    return F.flatten(F.transform(sentences(text, "\\n+|(?<=[.;!?])\\s+"), lambda s: hits(words(s), lexicon)))
 
 
 def confidence(negated: Column) -> Column:
@@ -101,7 +104,7 @@ def assess_blocks(df: DataFrame, text: str, lexicon: Lexicon, strict_start: bool
     """
 
     def one(b: Column) -> Column:
-        found = F.when(norm_in_place(b).rlike("|".join(lexicon.keywords) or "^"), let(words(b), lambda w: hits(w, lexicon, strict_start))).otherwise(F.array().cast("array<struct<finding:string,position:int,negated:boolean>>"))
+        found = F.when(norm_in_place(b).rlike("|".join(lexicon.keywords) or "^"), hits(words(b), lexicon, strict_start)).otherwise(F.array().cast("array<struct<finding:string,position:int,negated:boolean>>"))
         good = F.array_sort(F.array_distinct(F.transform(F.filter(found, lambda h: ~h["negated"]), lambda h: h["finding"])))
         return let(good, lambda g: F.struct(b.alias("bloco"), (F.size(g) > 0).alias("relevante"), g.alias("achados")))
 
