@@ -189,6 +189,12 @@ class History:
         self.path = path
         self.parts: list[str] = []  # batches appended so far, each a folder of its own
 
+    def stage(self, keys: DataFrame) -> DataFrame:
+        """Keys of the batch at hand, written in columns: they are read several times."""
+        path = f"{self.path}/work/part={len(self.parts):06d}"
+        keys.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def _read(self, kind: str) -> DataFrame | None:
         return self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*(f"{self.path}/{kind}/part={p}" for p in self.parts)) if self.parts else None
 
@@ -231,7 +237,7 @@ def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str,
     nodes = cut(spread(own.select("node", "ident", "date", "again", "text")).mapInArrow(_nodes, schema))
     by_text = spread(nodes.filter("words is not null").select("node", "words")).mapInArrow(_keys, "key long, node long").withColumn("by_ident", F.lit(False))
     by_ident = nodes.filter("ident is not null").select(F.xxhash64(F.lit("ident"), "ident").alias("key"), "node", F.lit(True).alias("by_ident"))
-    keys = cut(by_text.unionByName(by_ident))
+    keys = history.stage(by_text.unionByName(by_ident))
 
     parts = []
     old = history.keys()

@@ -98,7 +98,9 @@ class Lattice:
                     if key not in step or s > step[key][0]:
                         step[key] = (s, path + o)
             states = step
-        return max(states.values())[1]
+        best = max(states.values())[1]
+        scripts = lambda t: {_script(c) for c in t} - {""}
+        return token if len(scripts(best)) > 1 and len(scripts(token)) == 1 else best  # a word that is all of one script and can't be read in Latin stays
 
 
 def model(texts: DataFrame, text_col: str = "text") -> dict[str, float]:

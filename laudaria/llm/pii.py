@@ -29,6 +29,7 @@ from laudaria.runtime import spread
 
 KINDS = ("EMAIL", "DOCUMENTO", "TELEFONE", "ENDERECO", "NOME")
 _ACCENTS = ("áàâãäéèêëíìîïóòôõöúùûüçñº°ª", "aaaaaeeeeiiiiooooouuuucnooa")
+_ODD = re.compile("[^\\x00-\\x7f²³¹½¼¾±×÷≤≥≠≈–—…“”‘’«»αβδγ§·•]")  # what needs more than one sign for one
 #: Cues by what may follow or precede them.
 CUES = {
     "mail": ["@", "arroba", "[at]", "(at)", "{at}", "mailto:"],
@@ -37,6 +38,7 @@ CUES = {
     "street": ["rua ", "avenida ", "av.", "av ", "alameda ", "al. ", "travessa ", "tv. ", "trav. ", "rodovia ", "rod. ", "praca ", "estrada ", "largo ", "viela ", "vila ", "beco ", "quadra ", "qd", "cep", "ladeira ", "servidao "],
     "person": ["paciente", "acompanhante", "revisado por", "responsavel", "aos cuidados de", "a/c", "assinado", "assina", "solicitado por", "sr.", "sra.", "dr.", "dra.", "dados cadastrais", "mae,", "pai,", "mae:", "pai:", "nome:", "relato d", "comunicado a", "liberado por", "laudado por", "medico"],
 }
+REACH = {"mail": (70, 120), "phone": (4, 90), "document": (25, 70), "street": (2, 220), "person": (2, 90), "name": (0, 0)}  #: characters that a parser may need before and after its cue
 _PART = "(?:da|de|do|das|dos|e|di|del|van|von)"
 
 _EMAIL = re.compile(r"[a-z0-9][a-z0-9._%+-]{0,63} ?(?:@|\(arroba\)|\[arroba\]|\barroba\b|\[at\]|\(at\)|\{at\}) ?[a-z0-9-]{1,63}(?: ?(?:\.|\(ponto\)|\[ponto\]|\[dot\]|\(dot\)) ?[a-z0-9-]{1,63})*(?: ?(?:\.|\(ponto\)|\[ponto\]|\[dot\]|\(dot\)) ?[a-z]{2,24})(?![a-z0-9-])")
@@ -72,8 +74,9 @@ def fold(text: str) -> tuple[str, list[int] | None]:
         if low.isascii():
             return low, None
         for a, b in zip(*_ACCENTS, strict=True):
-            low = low.replace(a, b)
-        if low.isascii():
+            if a in low:
+                low = low.replace(a, b)
+        if not _ODD.search(low):
             return low, None
     out: list[str] = []
     at: list[int] = []
@@ -98,21 +101,35 @@ class Finder:
         self.auto = ahocorasick.Automaton()
         for kind, cues in CUES.items():
             for cue in cues:
-                self.auto.add_word(cue, kind)
+                self.auto.add_word(cue, (kind, len(cue), cue[0].isalpha(), cue[-1].isalpha()))
         for name in names:
             if name not in self.auto:
-                self.auto.add_word(name, "name")
+                self.auto.add_word(name, ("name", len(name), True, True))
         self.auto.make_automaton()
 
+    def anchors(self, low: str) -> dict[str, list[tuple[int, int]]]:
+        """Where the parsers have to look: stretches around whole cues, by kind, overlapping ones made one."""
+        out: dict[str, list[tuple[int, int]]] = {}
+        for last, (kind, n, alpha_first, alpha_last) in self.auto.iter(low):
+            start = last - n + 1
+            if alpha_first and start and low[start - 1].isalpha() or alpha_last and low[last + 1 : last + 2].isalpha() and kind not in ("phone", "person"):
+                continue
+            before, after = REACH[kind]
+            lo, hi = max(0, start - before), min(len(low), last + 1 + after)
+            own = out.setdefault(kind, [])
+            if own and lo <= own[-1][1]:
+                own[-1] = (min(lo, own[-1][0]), max(hi, own[-1][1]))
+            else:
+                own.append((lo, hi))
+        return out
+
     def spans(self, text: str, more: set[str] | None = None) -> list[tuple[int, int, str]]:
         """(start, end, kind) of all findings, without overlaps, in order."""
         low, at = fold(text)
-        kinds = {kind for _, kind in self.auto.iter(low)}
+        kinds = self.anchors(low)
         names = self.names if not more else self.names | more
         if more:
-            kinds.add("name")
-        if not kinds and "r." not in low:
-            return []
+            kinds["name"] = [(0, len(low))]
         found: list[tuple[int, int, str]] = []
 
         def add(start: int, end: int, kind: str) -> None:
@@ -121,30 +138,28 @@ class Finder:
             if end > start and not any(s < end and start < e for s, e, _ in found):
                 found.append((start, end, kind))
 
-        if "mail" in kinds:
-            for m in _EMAIL.finditer(low):
-                add(m.start(), m.end(), "EMAIL")
-        if "document" in kinds:
-            for m in _DOCUMENT.finditer(low):
-                digits = sum(c.isdigit() for c in m.group(1))
-                if 6 <= digits <= 16:
-                    add(m.start(1), m.end(1), "DOCUMENTO")
+        def near(kind: str, pattern: re.Pattern) -> Iterator[re.Match]:
+            for lo, hi in kinds.get(kind, ()):
+                yield from pattern.finditer(low, lo, hi)
+
+        for m in near("mail", _EMAIL):
+            add(m.start(), m.end(), "EMAIL")
+        for m in near("document", _DOCUMENT):
+            if 6 <= sum(c.isdigit() for c in m.group(1)) <= 16:
+                add(m.start(1), m.end(1), "DOCUMENTO")
         for m in _CPF.finditer(low):
             add(m.start(), m.end(), "DOCUMENTO")
-        if "phone" in kinds or "(" in low:
-            for m in _PHONE.finditer(low):
-                cue = _PHONE_CUE.search(low, max(0, m.start() - 70), m.start())
-                if cue or m.group()[0] in "(+":
-                    add(m.start(), m.end(), "TELEFONE")
-            for m in _LOCAL.finditer(low):
-                if re.search(r"(?:\btel\.?|fone|celular|telefone|whatsapp):? ?$", low[max(0, m.start() - 14) : m.start()]):
-                    add(m.start(), m.end(), "TELEFONE")
-        if "street" in kinds:
-            for m in _STREET.finditer(low):
-                add(m.start(), m.end(), "ENDERECO")
-            for m in _CEP.finditer(low):
-                add(m.start(), m.end(), "ENDERECO")
-        for m in _SHORT_STREET.finditer(low) if "r." in low else ():
+        for m in _PHONE.finditer(low):
+            if m.group()[0] in "(+" or "phone" in kinds and _PHONE_CUE.search(low, max(0, m.start() - 70), m.start()):
+                add(m.start(), m.end(), "TELEFONE")
+        for m in near("phone", _LOCAL):
+            if re.search(r"(?:\btel\.?|fone|celular|telefone|whatsapp):? ?$", low[max(0, m.start() - 14) : m.start()]):
+                add(m.start(), m.end(), "TELEFONE")
+        for m in near("street", _STREET):
+            add(m.start(), m.end(), "ENDERECO")
+        for m in near("street", _CEP):
+            add(m.start(), m.end(), "ENDERECO")
+        for m in _SHORT_STREET.finditer(low) if " r. " in low else ():
             if m.group(1) not in names:
                 add(m.start(), m.end(), "ENDERECO")
         if "name" in kinds or "person" in kinds:
@@ -180,7 +195,7 @@ class Finder:
                     add(start, end, "NOME")
                 i = j
         if "person" in kinds and at is None:
-            for m in _CAPITAL.finditer(text):
+            for m in (x for lo, hi in kinds["person"] for x in _CAPITAL.finditer(text, lo, hi)):
                 if _STRONG_PERSON.search(low[max(0, m.start() - 40) : m.start()]):
                     add(m.start(), m.end(), "NOME")
 

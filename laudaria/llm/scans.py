@@ -43,7 +43,7 @@ CONFUSIONS = [
 ]
 HYPHENS = "-¬‐­‑⁃=~"
 LETTERS = "a-zA-ZáàâãäéêëíïóôõöúüçñÁÀÂÃÉÊÍÓÔÕÚÜÇ"
-_WORD = f"[{LETTERS}0-9@!|$ﬁﬂ]*[{LETTERS}@!|$ﬁﬂ][{LETTERS}0-9@!|$ﬁﬂ]*"
+_WORD = f"[{LETTERS}0-9@!|$ﬁﬂ]+"
 _TOKEN = re.compile(_WORD)
 _LINES = re.compile(r"\r\n|\\r\\n|\\n|\n|\x0c(?=.)|<br ?/?>")
 Q = 3
@@ -155,7 +155,7 @@ def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, texts``: lower-case words and hyphenated compounds and in how many texts they stand; words divided at a line end are left out."""
     low = F.lower(F.regexp_replace(F.col(text_col), f"[{LETTERS}0-9]+[{HYPHENS}](?:\\r?\\n|\\\\n|<br>)[{LETTERS}0-9]+", " "))
     words = F.array_union(F.regexp_extract_all(low, F.lit(f"({_WORD})"), 1), F.regexp_extract_all(low, F.lit(f"([{LETTERS}]+-[{LETTERS}]+)"), 1))
-    return texts.select(F.explode(words).alias("word")).filter("length(word) between 2 and 40").groupBy("word").agg(F.count("*").alias("texts"))
+    return texts.select(F.explode(words).alias("word")).filter("length(word) between 2 and 40 and word rlike '[^0-9]'").groupBy("word").agg(F.count("*").alias("texts"))
 
 
 def corrections(counts: DataFrame, ratio: float = 12.0, least_length: int = 4, training_rows: int = 4000, accept: float = 0.5) -> tuple[DataFrame, list]:
