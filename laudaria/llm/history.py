@@ -195,6 +195,18 @@ class History:
         keys.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def unstage(self) -> None:
+        """Delete the keys of batches that are done."""
+        self._delete(f"{self.path}/work")
+
+    def drop(self) -> None:
+        """Delete the index."""
+        self._delete(self.path)
+
     def _read(self, kind: str) -> DataFrame | None:
         return self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*(f"{self.path}/{kind}/part={p}" for p in self.parts)) if self.parts else None
 
@@ -282,15 +294,16 @@ def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str,
     state = cut(nodes.join(bad.distinct().withColumn("bad", F.lit(True)), "node", "left"))
     taken = state.filter("bad is null")
     history.append(keys.join(taken, "node", "left_semi"), taken.filter("words is not null").select("node", "words", "sketch"))
+    history.unstage()
     return state.groupBy("ident", "date").agg(F.bool_or(F.coalesce("bad", F.lit(False)) | F.col("again")).alias("rejected"))
 
 
 def replay(records: DataFrame, ident: str, date: str, text: str, runs_per_batch: int = 30, history: History | None = None) -> DataFrame:
     """All runs from the first to the last, some runs to a batch: ``ident, date, rejected``.
 
-    The outcome doesn't depend on ``runs_per_batch``; a daily job passes each run to ``ingest`` by itself.
+    Without a ``history`` an index is made for the call and deleted at its end. The outcome doesn't depend on ``runs_per_batch``; a daily job passes each run to ``ingest`` by itself.
     """
-    history = history or History(records.sparkSession)
+    own, history = history is None, history or History(records.sparkSession)
     dates = sorted((r[0] for r in records.select(F.col(date).cast("date")).distinct().collect()), key=lambda d: (d is not None, d))  # runs, not records
     out = None
     for i in range(0, max(1, len(dates)), runs_per_batch):
@@ -298,4 +311,6 @@ def replay(records: DataFrame, ident: str, date: str, text: str, runs_per_batch:
         mine = F.col(date).cast("date").isin([d for d in some if d is not None])
         part = ingest(history, records.filter(mine | F.col(date).isNull() if None in some else mine), ident, date, text)
         out = part if out is None else out.unionByName(part)
+    if own:  # the outcome is kept apart from the index
+        history.drop()
     return out
