@@ -293,7 +293,7 @@ def _(s, d):
     return table(s, d, COLON).groupBy("dataExecucaoModelo").agg(F.count("*").alias("linhas"))
 
 
-@query("agg2_conditional", f"SELECT idunidade, count_if(fl_relevante = 1) AS relevantes, sum(CASE WHEN pct_nome IS NULL THEN 1 ELSE 0 END) AS sem_nome FROM {NEURO} GROUP BY idunidade")
+@query("agg2_conditional", f"SELECT idunidade, CAST(count_if(fl_relevante = 1) AS BIGINT) AS relevantes, CAST(sum(CASE WHEN pct_nome IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS sem_nome FROM {NEURO} GROUP BY idunidade")
 def _(s, d):
     return table(s, d, NEURO).groupBy("idunidade").agg(F.count_if(F.col("fl_relevante") == 1).alias("relevantes"), F.sum(F.when(F.col("pct_nome").isNull(), 1).otherwise(0)).alias("sem_nome"))
 
@@ -303,12 +303,12 @@ def _(s, d):
     return table(s, d, EXAM).groupBy("id_unidade").agg(F.countDistinct("id_exame").alias("exames"), F.countDistinct("id_patient").alias("pacientes"))
 
 
-@query("agg4_volumes", f"SELECT dataExecucaoModelo, nme_regional_hospital, idunidade, count(*) AS linhas, sum(fl_relevante) AS relevantes FROM {DII} GROUP BY 1, 2, 3")
+@query("agg4_volumes", f"SELECT dataExecucaoModelo, nme_regional_hospital, idunidade, count(*) AS linhas, CAST(sum(fl_relevante) AS BIGINT) AS relevantes FROM {DII} GROUP BY 1, 2, 3")
 def _(s, d):
     return table(s, d, DII).groupBy("dataExecucaoModelo", "nme_regional_hospital", "idunidade").agg(F.count("*").alias("linhas"), F.sum("fl_relevante").alias("relevantes"))
 
 
-@query("agg5_aligned", f"SELECT idunidade, sum(a) AS dii, sum(b) AS neuro FROM (SELECT idunidade, 1 AS a, 0 AS b FROM {DII} UNION ALL SELECT idunidade, 0, 1 FROM {NEURO}) GROUP BY idunidade")
+@query("agg5_aligned", f"SELECT idunidade, CAST(sum(a) AS BIGINT) AS dii, CAST(sum(b) AS BIGINT) AS neuro FROM (SELECT idunidade, 1 AS a, 0 AS b FROM {DII} UNION ALL SELECT idunidade, 0, 1 FROM {NEURO}) GROUP BY idunidade")
 def _(s, d):
     part = lambda t, a, b: table(s, d, t).groupBy("idunidade").agg((F.count("*") * a).alias("a"), (F.count("*") * b).alias("b"))
     return part(DII, 1, 0).unionByName(part(NEURO, 0, 1)).groupBy("idunidade").agg(F.sum("a").alias("dii"), F.sum("b").alias("neuro"))
@@ -402,7 +402,7 @@ def _(s, d):
     return ser.running_mean(daily_events(s, d), ["unidade"], "dia", "n", "media").select("unidade", "dia", F.round("media", 6).alias("media"))
 
 
-@query("win7_rolling_sum", f"SELECT unidade, dia, CASE WHEN count(*) OVER w >= 3 THEN sum(n) OVER w END AS s3, sum(n) OVER (PARTITION BY unidade ORDER BY dia ROWS 14 PRECEDING) AS s15 FROM ({_DAILY}) WINDOW w AS (PARTITION BY unidade ORDER BY dia ROWS 2 PRECEDING)")
+@query("win7_rolling_sum", f"SELECT unidade, dia, CAST(CASE WHEN count(*) OVER w >= 3 THEN sum(n) OVER w END AS BIGINT) AS s3, CAST(sum(n) OVER (PARTITION BY unidade ORDER BY dia ROWS 14 PRECEDING) AS BIGINT) AS s15 FROM ({_DAILY}) WINDOW w AS (PARTITION BY unidade ORDER BY dia ROWS 2 PRECEDING)")
 def _(s, d):
     out = ser.rolling_sum(daily_events(s, d), ["unidade"], "dia", "n", 3, "s3", 3)
     return ser.rolling_sum(out, ["unidade"], "dia", "n", 15, "s15").select("unidade", "dia", "s3", "s15")

@@ -161,7 +161,7 @@ def _(s, d):
     return table(s, d, "documents").filter(at("medindo") > 0).select("doc_id", cl.nearest({"ileo": away("ileo"), "colon": away("colon")}, "ileo").alias("alvo"))
 
 
-@query("eng11_confidence", f"SELECT exm_an, dataExecucaoModelo, CASE WHEN fl_relevante = 1 THEN 0.9 ELSE 0.35 END AS confianca FROM {DII}")
+@query("eng11_confidence", f"SELECT exm_an, dataExecucaoModelo, CAST(CASE WHEN fl_relevante = 1 THEN 0.9 ELSE 0.35 END AS DOUBLE) AS confianca FROM {DII}")
 def _(s, d):
     return table(s, d, DII).select(*_KEY, cl.confidence(F.coalesce(F.col("fl_relevante") != 1, F.lit(True))).alias("confianca"))
 

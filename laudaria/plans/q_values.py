@@ -236,14 +236,14 @@ def _(s, d):
 # monitoring
 
 
-@query("mon1_stage_volumes", f"WITH e AS (SELECT dt_dia_exame AS dia, id_unidade AS unidade, count(*) AS entrada FROM {EXAM} GROUP BY ALL), o AS (SELECT exm_data AS dia, idunidade AS unidade, count(*) AS saida, sum(fl_relevante) AS relevante FROM {DII} GROUP BY ALL) SELECT e.dia, e.unidade, e.entrada, coalesce(o.saida, 0) AS saida, coalesce(o.relevante, 0) AS relevante FROM e LEFT JOIN o ON e.dia = o.dia AND e.unidade = o.unidade")
+@query("mon1_stage_volumes", f"WITH e AS (SELECT dt_dia_exame AS dia, id_unidade AS unidade, count(*) AS entrada FROM {EXAM} GROUP BY ALL), o AS (SELECT exm_data AS dia, idunidade AS unidade, count(*) AS saida, CAST(sum(fl_relevante) AS BIGINT) AS relevante FROM {DII} GROUP BY ALL) SELECT e.dia, e.unidade, e.entrada, coalesce(o.saida, 0) AS saida, coalesce(o.relevante, 0) AS relevante FROM e LEFT JOIN o ON e.dia = o.dia AND e.unidade = o.unidade")
 def _(s, d):
     e = table(s, d, EXAM).groupBy(F.col("dt_dia_exame").alias("dia"), F.col("id_unidade").alias("unidade")).agg(F.count("*").alias("entrada"))
     o = table(s, d, DII).groupBy(F.col("exm_data").alias("dia"), F.col("idunidade").alias("unidade")).agg(F.count("*").alias("saida"), F.sum("fl_relevante").alias("relevante"))
     return e.join(o, ["dia", "unidade"], "left").fillna(0, ["saida", "relevante"])
 
 
-@query("mon2_filled", f"SELECT idunidade, count_if(exm_status IS NOT NULL) AS preenchido, count_if(exm_status IS NULL) AS nao_preenchido FROM {NEURO} GROUP BY idunidade")
+@query("mon2_filled", f"SELECT idunidade, CAST(count_if(exm_status IS NOT NULL) AS BIGINT) AS preenchido, CAST(count_if(exm_status IS NULL) AS BIGINT) AS nao_preenchido FROM {NEURO} GROUP BY idunidade")
 def _(s, d):
     return table(s, d, NEURO).groupBy("idunidade").agg(F.count_if(F.col("exm_status").isNotNull()).alias("preenchido"), F.count_if(F.col("exm_status").isNull()).alias("nao_preenchido"))
 
@@ -257,7 +257,7 @@ def _(s, d):
     return ser.against_mean(daily, "dia", "n").select("dia", "n", "situacao")
 
 
-@query("mon4_inactivity", f"WITH n AS (SELECT idunidade, dataExecucaoModelo AS dia, count(*) AS n FROM {DII} GROUP BY ALL), g AS (SELECT u.idunidade, CAST(x.d AS DATE) AS dia, coalesce(n.n, 0) AS n FROM (SELECT DISTINCT idunidade FROM n) u CROSS JOIN (SELECT unnest(generate_series(DATE '2024-04-01', DATE '2024-05-19', INTERVAL 1 DAY)) AS d) x LEFT JOIN n ON n.idunidade = u.idunidade AND n.dia = x.d) SELECT idunidade, dia, n, r AS atividade_recente FROM (SELECT *, CASE WHEN count(*) OVER w3 >= 3 THEN sum(n) OVER w3 END AS q, sum(n) OVER (PARTITION BY idunidade ORDER BY dia ROWS 14 PRECEDING) AS r FROM g WINDOW w3 AS (PARTITION BY idunidade ORDER BY dia ROWS 2 PRECEDING)) WHERE q = 0 AND r >= 1 AND dia >= DATE '2024-05-19' - 2")
+@query("mon4_inactivity", f"WITH n AS (SELECT idunidade, dataExecucaoModelo AS dia, count(*) AS n FROM {DII} GROUP BY ALL), g AS (SELECT u.idunidade, CAST(x.d AS DATE) AS dia, coalesce(n.n, 0) AS n FROM (SELECT DISTINCT idunidade FROM n) u CROSS JOIN (SELECT unnest(generate_series(DATE '2024-04-01', DATE '2024-05-19', INTERVAL 1 DAY)) AS d) x LEFT JOIN n ON n.idunidade = u.idunidade AND n.dia = x.d) SELECT idunidade, dia, n, CAST(r AS BIGINT) AS atividade_recente FROM (SELECT *, CASE WHEN count(*) OVER w3 >= 3 THEN sum(n) OVER w3 END AS q, sum(n) OVER (PARTITION BY idunidade ORDER BY dia ROWS 14 PRECEDING) AS r FROM g WINDOW w3 AS (PARTITION BY idunidade ORDER BY dia ROWS 2 PRECEDING)) WHERE q = 0 AND r >= 1 AND dia >= DATE '2024-05-19' - 2")
 def _(s, d):
     daily = table(s, d, DII).groupBy("idunidade", F.col("dataExecucaoModelo").alias("dia")).agg(F.count("*").alias("n"))
     return ser.inactivity(daily, "idunidade", "dia", "n", "2024-04-01", "2024-05-19", least=1).select("idunidade", "dia", "n", "atividade_recente")
@@ -284,7 +284,7 @@ def _(s, d):
 _PRED = f"SELECT fl_relevante = 1 AS real, exm_laudo_texto LIKE '%com %' AND exm_laudo_texto LIKE '%realce%' AS prev FROM {DII} WHERE fl_relevante IS NOT NULL AND exm_laudo_texto IS NOT NULL"
 
 
-@query("mon10_metrics", f"SELECT tp, fp, fn, tn, round(tp / nullif(tp + fp, 0), 6) AS precisao, round(tp / nullif(tp + fn, 0), 6) AS revocacao, round(5 * tp / nullif(5 * tp + 4 * fn + fp, 0), 6) AS f_beta, round(tn / nullif(tn + fp, 0), 6) AS especificidade, round(tn / nullif(tn + fn, 0), 6) AS vpn, round(((tp + tn) / (tp + fp + fn + tn) - pe) / (1 - pe), 6) AS kappa FROM (SELECT *, ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / ((tp + fp + fn + tn) * (tp + fp + fn + tn)) AS pe FROM (SELECT count_if(prev AND real) AS tp, count_if(prev AND NOT real) AS fp, count_if(NOT prev AND real) AS fn, count_if(NOT prev AND NOT real) AS tn FROM ({_PRED})))")
+@query("mon10_metrics", f"SELECT tp, fp, fn, tn, round(tp / nullif(tp + fp, 0), 6) AS precisao, round(tp / nullif(tp + fn, 0), 6) AS revocacao, round(5 * tp / nullif(5 * tp + 4 * fn + fp, 0), 6) AS f_beta, round(tn / nullif(tn + fp, 0), 6) AS especificidade, round(tn / nullif(tn + fn, 0), 6) AS vpn, round(((tp + tn) / (tp + fp + fn + tn) - pe) / (1 - pe), 6) AS kappa FROM (SELECT *, ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / ((tp + fp + fn + tn) * (tp + fp + fn + tn)) AS pe FROM (SELECT CAST(count_if(prev AND real) AS BIGINT) AS tp, CAST(count_if(prev AND NOT real) AS BIGINT) AS fp, CAST(count_if(NOT prev AND real) AS BIGINT) AS fn, CAST(count_if(NOT prev AND NOT real) AS BIGINT) AS tn FROM ({_PRED})))")
 def _(s, d):
     c = F.col("exm_laudo_texto")
     return ev.metrics(ev.confusion(table(s, d, DII), c.contains("com ") & c.contains("realce"), F.col("fl_relevante") == 1))
