@@ -24,6 +24,7 @@ Defined results: null and empty texts have no noise and stay as they are; rows o
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -151,11 +152,39 @@ def _features(read: str, meant: str, n_read: float, n_meant: float) -> list[floa
     return [used, left, np.log((n_meant + 1) / (n_read + 1)), len(a & b) / len(a | b), len(meant), abs(len(read) - len(meant)), float(any(not c.isalpha() for c in read)), float(read[:1] == meant[:1])]
 
 
+_DIVIDED = re.compile(f"[{LETTERS}0-9]+[{HYPHENS}](?:\\r?\\n|\\\\n|<br>)[{LETTERS}0-9]+")
+_COMPOUND = re.compile(f"[{LETTERS}]+-[{LETTERS}]+")
+
+
+def words_in(text: str) -> set[str]:
+    """Lower-case words of at least two signs, a letter among them."""
+    return {w for w in _TOKEN.findall(text.lower()) if 2 <= len(w) <= 40 and not w.isdigit()}
+
+
+def _count(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Texts to (word, texts), added up over the task and let go whenever ``most`` words are held."""
+    held: Counter = Counter()
+
+    def out() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "texts"])
+        held.clear()
+        return batch
+
+    for b in batches:
+        for text in b.column(0).to_pylist():
+            if text:
+                whole = _DIVIDED.sub(" ", text)
+                held.update(words_in(whole))
+                held.update({c.lower() for c in _COMPOUND.findall(whole) if len(c) <= 40})
+        if len(held) > most:
+            yield out()
+    yield out()
+
+
 def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``word, texts``: lower-case words and hyphenated compounds and in how many texts they stand; words divided at a line end are left out."""
-    low = F.lower(F.regexp_replace(F.col(text_col), f"[{LETTERS}0-9]+[{HYPHENS}](?:\\r?\\n|\\\\n|<br>)[{LETTERS}0-9]+", " "))
-    words = F.array_union(F.regexp_extract_all(low, F.lit(f"({_WORD})"), 1), F.regexp_extract_all(low, F.lit(f"([{LETTERS}]+-[{LETTERS}]+)"), 1))
-    return texts.select(F.explode(words).alias("word")).filter("length(word) between 2 and 40 and word rlike '[^0-9]'").groupBy("word").agg(F.count("*").alias("texts"))
+    own = spread(texts.select(F.col(text_col).cast("string").alias("text")))
+    return own.mapInArrow(_count, "word string, texts long").groupBy("word").agg(F.sum("texts").alias("texts"))
 
 
 def corrections(counts: DataFrame, ratio: float = 12.0, least_length: int = 4, training_rows: int = 4000, accept: float = 0.5) -> tuple[DataFrame, list]:
@@ -363,17 +392,18 @@ class Reader:
         return _TOKEN.sub(put, whole) if meant else whole
 
 
-def _lines(batches: Iterator[pa.RecordBatch], model: list) -> Iterator[pa.RecordBatch]:
-    """Text last; out go the other columns, whether there is furniture, and the halves at line ends."""
+def _lines(batches: Iterator[pa.RecordBatch], model: list, misread_words: set[str] | None = None) -> Iterator[pa.RecordBatch]:
+    """Text last; out go the other columns, whether there is furniture, the halves at line ends, and whether a word is a misread one."""
     reader = Reader(model)
     for b in batches:
-        page, halves = [], []
+        page, halves, bad = [], [], []
         for text in b.columns[-1].to_pylist():
             lines = _LINES.split(text) if text else []
             out = reader.furniture(lines)
             page.append(any(out))
             halves.append(sorted({f"{a} {c} {s}" for _, _, a, c, s in reader.halves(lines, out)}))
-        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(page, pa.bool_()), pa.array(halves, pa.list_(pa.string()))], [*b.schema.names[:-1], "page", "halves"])
+            bad.append(bool(text and misread_words and not misread_words.isdisjoint(words_in(text))))
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(page, pa.bool_()), pa.array(halves, pa.list_(pa.string())), pa.array(bad, pa.bool_())], [*b.schema.names[:-1], "page", "halves", "bad"])
 
 
 class Noise:
@@ -383,7 +413,10 @@ class Noise:
         self.text_col, self.broadcast_rows = text_col, broadcast_rows
         self.counts = cut(word_counts(texts, text_col))
         meant, self.word_model = corrections(self.counts, training_rows=training_rows)
-        self.meant = self._sized(cut(meant))
+        meant = cut(meant)
+        few = [r[0] for r in meant.select("word").limit(broadcast_rows + 1).collect()]  # bounded
+        self.misread = set(few) if len(few) <= broadcast_rows else None
+        self.meant = F.broadcast(meant) if self.misread is not None else meant
         clean = texts.filter(F.col(text_col).isNotNull() & ~F.col(text_col).rlike("\\x0c|(?i:p\\s?[aá]\\s?g|folha|\\bfls?\\b)|(?m:^[^\\p{L}\\n]*\\d{1,4}[^\\p{L}\\n]*$)")).select(text_col)  # fit on texts without any line that could be furniture
         self.line_model = fit_lines([r[0] for r in clean.filter(F.length(text_col).between(200, 20000)).orderBy(F.md5(text_col)).limit(training_rows // 10).collect()])
         common = self.counts.filter(F.col("word").rlike(f"^[{LETTERS}]+(-[{LETTERS}]+)?$")).orderBy(F.desc("texts"), "word").limit(training_rows // 2).collect()
@@ -394,10 +427,10 @@ class Noise:
         return F.broadcast(df) if df.count() <= self.broadcast_rows else df
 
     def seen(self, texts: DataFrame, keys: list[str]) -> DataFrame:
-        """``keys, page, halves`` of every row."""
-        model, fields = self.line_model, {f.name: f.dataType.simpleString() for f in texts.schema.fields}
-        schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keys), "page boolean, halves array<string>"])
-        return spread(texts.select(*keys, F.col(self.text_col).cast("string").alias("_text"))).mapInArrow(lambda b: _lines(b, model), schema)
+        """``keys, page, halves, bad`` of every row."""
+        model, known, fields = self.line_model, self.misread, {f.name: f.dataType.simpleString() for f in texts.schema.fields}
+        schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keys), "page boolean, halves array<string>, bad boolean"])
+        return spread(texts.select(*keys, F.col(self.text_col).cast("string").alias("_text"))).mapInArrow(lambda b: _lines(b, model, known), schema)
 
     def divided(self, halves: DataFrame) -> DataFrame:
         """``half``: of the distinct halves at line ends, those that are one word."""
@@ -417,13 +450,15 @@ class Noise:
 
     def found(self, texts: DataFrame, keys: list[str]) -> DataFrame:
         """``keys, tipo``: one row per record and kind of noise."""
-        seen = cut(self.seen(texts, keys).filter("page or size(halves) > 0"))
+        seen = cut(self.seen(texts, keys).filter("page or bad or size(halves) > 0"))
         pages = seen.filter("page").select(*keys, F.lit("pagina").alias("tipo"))
         split = seen.select(*keys, F.explode("halves").alias("half"))
         words = split.join(self._sized(cut(self.divided(split.select("half")))), "half", "left_semi").select(*keys, F.lit("hifenizacao").alias("tipo"))
-        low = F.array_distinct(F.regexp_extract_all(F.lower(F.col(self.text_col)), F.lit(f"({_WORD})"), 1))
-        bad = texts.select(*keys, F.explode(low).alias("word")).join(self.meant, "word", "left_semi").select(*keys, F.lit("caractere").alias("tipo"))
-        return pages.unionByName(words).unionByName(bad).distinct()
+        bad = seen.filter("bad").select(*keys)
+        if self.misread is None:  # too many misread words to send along
+            low = F.array_distinct(F.regexp_extract_all(F.lower(F.col(self.text_col)), F.lit(f"({_WORD})"), 1))
+            bad = texts.select(*keys, F.explode(low).alias("word")).join(self.meant, "word", "left_semi").select(*keys)
+        return pages.unionByName(words).unionByName(bad.select(*keys, F.lit("caractere").alias("tipo"))).distinct()
 
     def repair(self, texts: DataFrame, keys: list[str]) -> DataFrame:
         """``keys, text, repaired``: every row with its text as continuous readable paragraphs."""
