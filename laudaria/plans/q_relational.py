@@ -514,3 +514,31 @@ def _(s, d):
 @query("dml8_pad", "SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS codigo FROM customer")
 def _(s, d):
     return table(s, d, "customer").select("c_custkey", F.lpad(F.col("c_custkey").cast("string"), 14, "0").alias("codigo"))
+
+
+# contracts and keys
+
+
+@query("prj1_contract", f"SELECT exm_an AS id_exame, id_pct AS id_paciente, exm_laudo_dataliber AS liberado, idunidade AS unidade FROM {COLON}")
+def _(s, d):
+    names = {"exm_an": "id_exame", "id_pct": "id_paciente", "exm_laudo_dataliber": "liberado", "idunidade": "unidade"}
+    return table(s, d, COLON).select(*names).withColumnsRenamed(names)
+
+
+@query("prj4_surrogate_id", f"SELECT exm_an, dataExecucaoModelo, sha256(exm_an || '|' || CAST(dataExecucaoModelo AS VARCHAR)) AS id FROM {NEURO}")
+def _(s, d):
+    return table(s, d, NEURO).select("exm_an", "dataExecucaoModelo", F.sha2(F.concat_ws("|", "exm_an", F.col("dataExecucaoModelo").cast("string")), 256).alias("id"))
+
+
+@query("prj6_defaults", f"SELECT exm_an, 'neuro' AS origem, coalesce(nme_convenio, 'PARTICULAR') AS convenio, 0 AS enviado FROM {NEURO}")
+def _(s, d):
+    return table(s, d, NEURO).select("exm_an", F.lit("neuro").alias("origem"), F.coalesce("nme_convenio", F.lit("PARTICULAR")).alias("convenio"), F.lit(0).alias("enviado"))
+
+
+@query("prj7_republish", f"SELECT exm_an AS an, dataExecucaoModelo AS dia, pct_nome AS nome FROM {DII}")
+def _(s, d):
+    from laudaria.sources.crypto import AesCodec
+
+    codec = AesCodec("0123456789abcdef")  # an example key
+    published = table(s, d, DII).select(F.col("exm_an").alias("an"), F.col("dataExecucaoModelo").alias("dia"), codec.encrypt(F.col("pct_nome")).alias("nome"))
+    return published.withColumn("nome", codec.decrypt(F.col("nome")))

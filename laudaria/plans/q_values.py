@@ -305,3 +305,21 @@ def _(s, d):
 def _(s, d):
     out = ser.alerts(ser.drift(daily_events(s, d), ["unidade"], "dia", "n"), "n")
     return out.select("unidade", "dia", "n", F.round("media_anterior", 6).alias("media_anterior"), "alerta_volume")
+
+
+@query("str12_best_match")
+def _(s, d):
+    known = table(s, d, DII).select(tx.norm(F.col("exm_titulo")).alias("conhecido")).filter("conhecido is not null").distinct()
+    titles = table(s, d, EXAM).select(tx.norm(F.col("proced_descricao_ajustado")).alias("titulo")).filter("titulo is not null").distinct()
+    # candidates share a word; the ratio is worked out for those alone
+    word = lambda c: F.explode(F.array_distinct(F.split(c, " ")))
+    met = titles.withColumn("_w", word("titulo")).join(known.withColumn("_w", word("conhecido")), "_w").select("titulo", "conhecido").distinct()
+    scored = met.withColumn("nota", F.round(tx.similarity()("titulo", "conhecido"), 6)).filter("nota >= 0.3")
+    return scored.groupBy("titulo").agg(F.max_by("conhecido", F.struct("nota", "conhecido")).alias("conhecido"), F.max("nota").alias("nota"))
+
+
+@query("eng28_score_deciles", "SELECT vec_id, ntile(10) OVER (PARTITION BY label ORDER BY vec_id % 97, vec_id) AS decil FROM embeddings")
+def _(s, d):
+    from pyspark.sql import Window
+
+    return table(s, d, "embeddings").select("vec_id", F.ntile(10).over(Window.partitionBy("label").orderBy(F.col("vec_id") % 97, "vec_id")).alias("decil"))
