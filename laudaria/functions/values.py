@@ -10,7 +10,7 @@ MONTHS = ["janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "
 
 
 def age_by_months(birth: Column, day: Column) -> Column:
-    """Full years between two dates."""
+    """Full years between two dates; where both are the last of their month a year is full, so the 29th of February turns on the 28th of a common year."""
     return F.floor(F.months_between(day, birth) / 12).cast("int")
 
 

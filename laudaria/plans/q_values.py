@@ -119,6 +119,15 @@ def _(s, d):
     return t.select("exm_an", "dataExecucaoModelo", vl.age_by_months(F.col("pct_datanasc"), F.col("exm_data")).alias("anos"), vl.age_by_days(F.col("pct_datanasc"), F.col("exm_data")).alias("anos_dias"))
 
 
+_MONTH_END = "(last_day(exm_data) = exm_data AND last_day(pct_datanasc) = pct_datanasc)"
+
+
+@query("dat1_dat2_age_whole", f"SELECT exm_an, dataExecucaoModelo, CAST(date_diff('year', pct_datanasc, exm_data) - CASE WHEN strftime(exm_data, '%m%d') < strftime(pct_datanasc, '%m%d') AND NOT (month(exm_data) = month(pct_datanasc) AND {_MONTH_END}) THEN 1 ELSE 0 END AS INTEGER) AS anos, CAST(floor(date_diff('day', pct_datanasc, exm_data) / 365.25) AS INTEGER) AS anos_dias FROM {DII}")
+def _(s, d):
+    t = table(s, d, DII)
+    return t.select("exm_an", "dataExecucaoModelo", vl.age_by_months(F.col("pct_datanasc"), F.col("exm_data")).alias("anos"), vl.age_by_days(F.col("pct_datanasc"), F.col("exm_data")).alias("anos_dias"))
+
+
 @query("dat3_latest_past", f"SELECT id_exame, etl_data_atualizacao_carga_gold AS carga, greatest(CASE WHEN dt_dia_exame <= DATE '2024-06-30' THEN dt_dia_exame END, CASE WHEN CAST(dt_liberacao_laudo AS DATE) <= DATE '2024-06-30' THEN CAST(dt_liberacao_laudo AS DATE) END) AS ultima FROM {EXAM}")
 def _(s, d):
     return table(s, d, EXAM).select("id_exame", F.col("etl_data_atualizacao_carga_gold").alias("carga"), vl.latest_past(F.lit("2024-06-30").cast("date"), F.col("dt_dia_exame"), F.to_date("dt_liberacao_laudo")).alias("ultima"))

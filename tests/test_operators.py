@@ -68,6 +68,25 @@ def test_clearance_guards(spark):
     assert abs(v(1.0, 50, "F") - 142 * (1 / 0.7) ** -1.2 * 0.9938**50 * 1.012) < 1e-9
 
 
+def test_ages_at_month_ends_and_of_nulls(spark):
+    import datetime
+
+    from laudaria.plans import catalog
+
+    days = [datetime.date(y, m, x) for y, m, x in ((2000, 2, 28), (2000, 2, 29), (2000, 3, 31), (2001, 1, 31), (2003, 2, 28), (2003, 4, 30), (2004, 2, 28), (2004, 2, 29), (2005, 3, 30), (2005, 3, 31))]
+    pairs = [(b, e) for b in [*days, None] for e in days if b is None or b <= e]
+
+    def years(b, e):
+        last = all((x + datetime.timedelta(1)).day == 1 for x in (b, e))
+        return e.year - b.year - ((e.month, e.day) < (b.month, b.day) and not (b.month == e.month and last))
+
+    df = spark.createDataFrame(pairs, "b date, e date")
+    got = df.select("b", "e", vl.age_by_months(F.col("b"), F.col("e")), vl.age_by_days(F.col("b"), F.col("e"))).collect()
+    assert {tuple(r) for r in got} == {(b, e, years(b, e) if b else None, int((e - b).days / 365.25) if b else None) for b, e in pairs}
+    d = "/root/testdata/sf0.001"
+    assert catalog.QUERIES["dat1_dat2_age_whole"](spark, d).count() == spark.read.parquet(f"{d}/tb_diamond_mod_dii_saida.parquet").count()
+
+
 def test_rounding_before_range(spark):
     assert one(spark, vl.in_range(F.col("x"), 0.1, 60), x=0.4) is False
     assert one(spark, vl.in_range(F.col("x"), 0.1, 60), x=59.7) is True
