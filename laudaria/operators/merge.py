@@ -71,6 +71,12 @@ def set_flag(target: DataFrame, log: DataFrame, keys: list[str], flag: str) -> D
     return merge(target, log.select(*keys).distinct(), keys, {flag: F.lit(True)}, insert=False)
 
 
-def replace_partitions(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Idempotent re-run: the partitions that ``new`` holds are taken from it, the others stay."""
-    return old.join(F.broadcast(new.select(*keys).distinct().limit(10_000)), keys, "left_anti").select(*old.columns).unionByName(new)
+def replace_partitions(old: DataFrame, new: DataFrame, keys: list[str], broadcast_rows: int = 10_000) -> DataFrame:
+    """Idempotent re-run: the partitions that ``new`` holds are taken from it, the others stay.
+
+    Here a null key is a partition like any other. The distinct keys are counted first and broadcast up to ``broadcast_rows``, else joined by shuffle.
+    """
+    held = new.select(*(F.col(k).alias(f"_new_{k}") for k in keys)).distinct()
+    if held.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        held = F.broadcast(held)
+    return old.join(held, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys], "left_anti").select(*old.columns).unionByName(new)

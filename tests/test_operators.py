@@ -48,6 +48,16 @@ def test_merge_conditions(spark):
     assert mg.merge(t, s, ["k"], delete_when=F.col("s.n") == 2, insert=False).count() == 1
 
 
+def test_replaced_partitions_beyond_the_broadcast(spark):
+    old = spark.range(12_000).selectExpr("cast(id as string) as k", "'old' as v")
+    out = mg.replace_partitions(old, old.withColumn("v", F.lit("new")), ["k"])
+    assert [tuple(r) for r in out.groupBy("v").count().collect()] == [("new", 12_000)]
+    some = spark.createDataFrame([("a", "old"), (None, "old"), ("b", "old")], "k string, v string")
+    for most in (10, 1):
+        got = mg.replace_partitions(some, spark.createDataFrame([(None, "new"), ("b", "new")], "k string, v string"), ["k"], most)
+        assert sorted(map(tuple, got.collect()), key=str) == [("a", "old"), ("b", "new"), (None, "new")]
+
+
 def test_spikes_three_days_not_two(spark):
     rows = [("u", f"2024-01-{i + 1:02d}", v) for i, v in enumerate([10, 10, 10, 40, 50, 60, 10, 10, 10, 60, 60])]
     df = spark.createDataFrame(rows, "u string, d string, n int").withColumn("d", F.to_date("d"))
