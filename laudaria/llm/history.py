@@ -13,7 +13,7 @@ and round, and is never one task. All in all the outcome is that of taking the r
 
 Similarity: word edit distance of at most ``max_differ`` of the longer text, words compared without case, accents,
 punctuation and spacing (``words_of``). Keys are ``BANDS`` bands of ``ROWS`` minwise values over three-word shingles:
-shingles of five and a similarity of 0.8 would lose pairs that differ in a word in ten. Texts under ``SHORT`` words have further keys over
+shingles of five and a similarity of 0.8 would lose pairs that differ in a word in ten. Texts under ``SHORT`` words, and those of up to a ninth more that can be copies of them, have further keys over
 single words, and every text one of its whole, so equal texts always meet. Expected recall: 0.9999 at a twentieth of the words changed, 0.96 at a tenth
 spread evenly.
 
@@ -89,11 +89,11 @@ def keys_of(words: list[str]) -> np.ndarray:
     """Band keys of a text, and one of the whole."""
     with np.errstate(over="ignore"):
         keys = [_mix(np.array([_word(" ".join(words)) ^ 0x5555], np.uint64))]
-        if len(words) >= 10:  # shorter texts have no room for a changed word
+        if len(words) >= 9:  # of shorter texts no other is within a tenth; one of nine words and one of ten can be
             h, s = _shingles(words)
             low = _lowest(s, slice(0, BANDS * ROWS)).reshape(BANDS, ROWS)
             keys.append(_mix((low * _FOLD).sum(axis=1, dtype=np.uint64) ^ _NAME[:BANDS]))
-            if len(h) < SHORT:
+            if len(h) <= SHORT * 10 // 9:  # all that can be within a tenth of a text under SHORT
                 low = _lowest(_mix(np.unique(h)), slice(0, SHORT_BANDS * SHORT_ROWS)).reshape(SHORT_BANDS, SHORT_ROWS)
                 keys.append(_mix((low * _FOLD[:SHORT_ROWS]).sum(axis=1, dtype=np.uint64) ^ _NAME[BANDS:]))
         return np.concatenate(keys).astype(np.int64)
@@ -150,7 +150,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agree():
-    """Whether enough of two sketches agrees."""
+    """Whether enough of two sketches agrees, or one of them is that of a short text."""
 
     @F.pandas_udf("boolean")
     def agree(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -158,7 +158,7 @@ def _agree():
             return pd.Series([], dtype=bool)
         x = np.frombuffer(b"".join(s.ljust(SKETCH, b"\0") for s in a), np.uint8).reshape(-1, SKETCH)
         y = np.frombuffer(b"".join(s.ljust(SKETCH, b"\0") for s in b), np.uint8).reshape(-1, SKETCH)
-        return pd.Series((x == y).mean(axis=1) >= AGREE)
+        return pd.Series(((x == y).mean(axis=1) >= AGREE) | ~x.any(axis=1) | ~y.any(axis=1))  # short texts have no sketch
 
     return agree
 

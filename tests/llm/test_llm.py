@@ -139,6 +139,23 @@ def test_a_crowded_bucket_goes_by_rounds(spark):
     assert {r["ident"] for r in out.filter("not rejected").collect()} == {"000"}
 
 
+@pytest.mark.parametrize("runs_per_batch", [1, 10])
+def test_copies_on_both_sides_of_the_short_texts(spark, runs_per_batch):
+    rng = random.Random(8)
+    rows = []
+    for k, n in enumerate([8, 9, 9, 10, 38, 39, 39, 39, 40]):
+        words = [f"p{rng.randrange(10**6)}" for _ in range(n)]
+        more = [*words[: n // 2], "novo", *words[n // 2 :]]
+        for day, w in enumerate((words, more) if k % 2 else (more, words)):
+            rows.append((f"2024-01-{1 + day:02d}", f"{k}-{day}", " ".join(w)))
+    words = [f"p{rng.randrange(10**6)}" for _ in range(39)]
+    rows += [("2024-01-01", "x-0", " ".join(words)), ("2024-01-02", "x-1", " ".join([*words, "a", "b", "c", "d"]))]
+    df = spark.createDataFrame([(i, d, t) for d, i, t in rows], "exm_an string, d string, t string")
+    out = history.replay(df, "exm_an", "d", "t", runs_per_batch=runs_per_batch)
+    got = {(r["ident"], str(r["date"])) for r in out.filter("rejected").collect()}
+    assert got == greedy(rows) == {(i, d) for d, i, _ in rows if i.endswith("-1") and i[0] != "0"}
+
+
 def test_history_edges(spark):
     df = spark.createDataFrame([("a", None, "x"), ("a", None, "x"), (None, "2024-01-01", None), (None, "2024-01-02", None)], "i string, d string, t string")
     out = {(r["ident"], str(r["date"])): r["rejected"] for r in history.replay(df, "i", "d", "t").collect()}
