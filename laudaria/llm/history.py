@@ -7,9 +7,10 @@ only where a key matches; nothing of the history is computed again.
 
 The order is that of the rows (date, identifier, text). Inside a batch, records of one bucket of at most ``small_bucket`` are compared
 with each other, and the sequential rule is met in rounds: an undecided record that has no earlier undecided
-match is accepted, its later matches are rejected, and so on. In a larger bucket only the first undecided record can be accepted in a round and
-the others are compared with that one alone, so a bucket that holds a third of all rows costs one comparison per row
-and round, and is never one task. All in all the outcome is that of taking the rows one by one.
+match is accepted, its later matches are rejected, and so on. Of a larger bucket only the front is compared with itself, the first 1, 4, 16, 64 and then
+``FRONT`` undecided records; those of them that are accepted meet the rows behind. A bucket of copies costs one comparison per row, one of n records
+that are no copies of each other the n * n / 2 that the rule asks for, in about n / ``FRONT`` rounds. Rounds go on until all is decided, and the rows
+of a bucket meet what is accepted in ``SALTS`` tasks. All in all the outcome is that of taking the rows one by one.
 
 Similarity: word edit distance of at most ``max_differ`` of the longer text, words compared without case, accents,
 punctuation and spacing (``words_of``). Keys are ``BANDS`` bands of ``ROWS`` minwise values over three-word shingles:
@@ -33,7 +34,7 @@ from functools import lru_cache, reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from laudaria.runtime import cut, ensure_checkpoint_dir, spread
@@ -41,6 +42,7 @@ from laudaria.runtime import cut, ensure_checkpoint_dir, spread
 BANDS, ROWS, SHORT_BANDS, SHORT_ROWS, SHORT, SKETCH = 128, 6, 32, 3, 40, 64
 AGREE = 0.3  #: share of the sketch in which two texts must agree to be compared word by word; copies reach 0.54
 BUCKETS = 32
+FRONT, SALTS = 256, 8  #: most rows of a crowded bucket that can be accepted in a round; tasks for the rows behind them
 _SEED = np.random.default_rng(20240501)
 _MUL = _SEED.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ADD = _SEED.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -237,7 +239,7 @@ def _confirmed(met: DataFrame, left: DataFrame, right: DataFrame, max_differ: fl
     return pairs.filter("by_ident").select("node", "other").unionByName(texts.filter(_same(max_differ)("words", "words2")).select("node", "other"))
 
 
-def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str, max_differ: float = 0.1, small_bucket: int = 64, most_rounds: int = 1000) -> DataFrame:
+def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str, max_differ: float = 0.1, small_bucket: int = 64) -> DataFrame:
     """Check a batch against the history and within itself; append what is accepted.
 
     Returns ``ident, date, rejected`` with one row per distinct (identifier, date): rejected if any of its rows was.
@@ -269,27 +271,30 @@ def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str,
     crowded = not hot.isEmpty()
     open_ = links.select("node").unionByName(links.select(F.col("other").alias("node")))
     open_ = cut((open_.unionByName(hot.select("node")) if crowded else open_).distinct())
-    for _ in range(most_rounds):
-        if open_.isEmpty():
-            break
+    width = 1  # rows at the front of a crowded bucket that are compared with each other in a round
+    while not open_.isEmpty():  # the first of all open records is always taken
         left = links.join(open_, "node", "left_semi").join(open_.select(F.col("node").alias("other")), "other", "left_semi")
         waits = left.select("node")
-        if crowded:  # only the first of a crowded bucket can be taken
+        if crowded:
             there = hot.join(open_, "node", "left_semi")
-            first = there.groupBy("key").agg(F.min("ord").alias("first"))
-            waits = waits.unionByName(there.join(first, "key").filter("ord > first").select("node"))
+            front = cut(there.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("ord"))).filter(F.col("place") <= width).drop("place"))
+            rest = there.join(front.select("key", "node"), ["key", "node"], "left_anti")
+            if width > 1:
+                after = front.join(front.select("key", F.col("node").alias("other"), F.col("ord").alias("before")), "key").filter("before < ord")
+                left = left.select("node", "other").unionByName(cut(_confirmed(after.select("node", "other", "by_ident"), nodes, nodes, max_differ)))
+            waits = left.select("node").unionByName(rest.select("node"))
         taken = open_.join(waits.distinct(), "node", "left_anti")
-        out = left.join(taken.select(F.col("node").alias("other")), "other", "left_semi").select("node")
         if crowded:
             taken = cut(taken)
-            ahead = there.join(taken, "node", "left_semi").select("key", F.col("node").alias("other"))
-            behind = there.join(taken, "node", "left_anti").join(ahead, "key").select("node", "other", "by_ident")
+        out = left.join(taken.select(F.col("node").alias("other")), "other", "left_semi").select("node")
+        if crowded:  # what is taken meets the rows behind the front, those of a bucket in several tasks
+            ahead = front.join(taken, "node", "left_semi").select("key", F.col("node").alias("other"), F.col("ord").alias("before"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+            behind = rest.withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(ahead, ["key", "salt"]).filter("before < ord").select("node", "other", "by_ident")
             out = out.unionByName(_confirmed(behind, nodes, nodes, max_differ).select("node"))
         out = cut(out.distinct())
         parts.append(out)
         open_ = cut(open_.join(taken, "node", "left_anti").join(out, "node", "left_anti"))
-    else:
-        raise RuntimeError(f"undecided records after {most_rounds} rounds")
+        width = min(4 * width, FRONT)
     bad = reduce(DataFrame.unionByName, parts) if parts else nodes.select("node").limit(0)
     state = cut(nodes.join(bad.distinct().withColumn("bad", F.lit(True)), "node", "left"))
     taken = state.filter("bad is null")

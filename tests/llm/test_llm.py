@@ -139,6 +139,23 @@ def test_a_crowded_bucket_goes_by_rounds(spark):
     assert {r["ident"] for r in out.filter("not rejected").collect()} == {"000"}
 
 
+def test_a_crowded_bucket_of_different_texts_takes_few_rounds(spark, monkeypatch):
+    rng = random.Random(9)
+    head = [f"m{rng.randrange(10**6)}" for _ in range(60)]
+    rows = []
+    for i in range(80):
+        own = " ".join([*head, *(f"p{rng.randrange(10**6)}" for _ in range(15))])
+        rows.append(("2024-01-01", f"{i:03d}", own))
+        if i % 8 == 0:
+            rows.append(("2024-01-01", f"{(i * 37) % 80:03d}x", changed(rng, own, 3)))
+    df = spark.createDataFrame([(i, d, t) for d, i, t in rows], "exm_an string, d string, t string")
+    cuts, plain = [], history.cut
+    monkeypatch.setattr(history, "cut", lambda df: cuts.append(1) or plain(df))
+    out = history.ingest(history.History(spark), df, "exm_an", "d", "t", small_bucket=4)
+    assert {(r["ident"], str(r["date"])) for r in out.filter("rejected").collect()} == greedy(rows)
+    assert len(cuts) < 60
+
+
 @pytest.mark.parametrize("runs_per_batch", [1, 10])
 def test_copies_on_both_sides_of_the_short_texts(spark, runs_per_batch):
     rng = random.Random(8)
