@@ -3,7 +3,7 @@
 Three kinds of noise are found and repaired: words divided at a line end (``hifenizacao``), misread characters in words
 (``caractere``), and running headers, footers and page numbers between or after the lines of the report (``pagina``).
 
-*Words.* All distinct words are counted once. Those seen in few texts beside their neighbours are suspects; they meet the
+*Words.* All distinct words are counted once, over distinct texts. Those seen in few texts beside their neighbours are suspects; they meet the
 frequent words through an inverted join on padded character q-grams, and a gradient-boosted model ranks the candidates by how well the
 usual confusions of scanning explain the difference, how much more frequent the candidate is, and how many q-grams they share.
 Frequencies enter as ratios, so the outcome is alike at every size. The model is fitted on clean words of the corpus
@@ -182,8 +182,8 @@ def _count(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[p
 
 
 def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word, texts``: lower-case words and hyphenated compounds and in how many texts they stand; words divided at a line end are left out."""
-    own = spread(texts.select(F.col(text_col).cast("string").alias("text")))
+    """``word, texts``: lower-case words and hyphenated compounds and in how many distinct texts they stand; words divided at a line end are left out."""
+    own = texts.select(F.col(text_col).cast("string").alias("text")).distinct()  # copies of a scanned text don't make its misread words frequent
     return own.mapInArrow(_count, "word string, texts long").groupBy("word").agg(F.sum("texts").alias("texts"))
 
 

@@ -49,6 +49,16 @@ def test_scan_noise_found_and_repaired(spark, scanned):
     assert "- 1 -" not in fixed["p"] and fixed["null"] is None and fixed["empty"] == "" and fixed["ok5"] == clean[8]
 
 
+def test_copies_of_a_scanned_text_hide_no_misread_word(spark, scanned):
+    clean, bad = scanned
+    rows = [(f"ok{i}", t) for i, t in enumerate(clean[3:])] + [(f"c{i}", bad["c"]) for i in range(60)]
+    df = spark.createDataFrame(rows, "exm_an string, text string")
+    noise = scans.Noise(df)
+    assert {(r["exm_an"], r["tipo"]) for r in noise.found(df, ["exm_an"]).collect()} == {(f"c{i}", "caractere") for i in range(60)}
+    fixed = {r["repaired"] for r in noise.repair(df, ["exm_an"]).filter("exm_an like 'c%'").collect()}
+    assert fixed == {clean[1]}
+
+
 def test_scan_noise_of_nothing(spark):
     df = spark.createDataFrame([], "exm_an string, text string")
     assert scans.Noise(df).found(df, ["exm_an"]).count() == 0
