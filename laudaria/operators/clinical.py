@@ -6,6 +6,7 @@ what belongs to one specialty lives in its configuration, not here.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -112,11 +113,17 @@ def assess_blocks(df: DataFrame, text: str, lexicon: Lexicon, strict_start: bool
     return out.withColumn("relevante", F.coalesce(F.exists("blocos", lambda b: b["relevante"]), F.lit(False)))
 
 
+def _places(text: Column, term: str) -> Column:
+    """Where a term begins, from 1, overlapping ones included."""
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
+    step = lambda a, x: F.struct((a["at"] + F.length(x)).alias("at"), F.when((a["at"] > 1) | text.startswith(term), F.array_append(a["found"], a["at"])).otherwise(a["found"]).alias("found"))
+    return F.aggregate(F.split(text, f"(?={re.escape(term)})"), start, step, lambda a: a["found"])
+
+
 def near(text: Column, finding: str, organ: str, reach: int = 200) -> Column:
-    """Whether a finding begins within ``reach`` characters of the start or end of a mention of the organ."""
-    t = norm_in_place(text)
-    places = lambda p: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: F.substring(t, i, F.lit(len(p))) == p), lambda i: i)
-    return F.exists(places(finding), lambda f: F.exists(places(organ), lambda o: F.least(F.abs(f - o), F.abs(f - (o + len(organ)))) <= reach))
+    """Whether a finding begins within ``reach`` characters of the start or end of a mention of the organ; null for a null text."""
+    places = let(norm_in_place(text), lambda t: F.struct(_places(t, finding).alias("f"), _places(t, organ).alias("o")))
+    return let(places, lambda p: F.exists(p["f"], lambda f: F.exists(p["o"], lambda o: F.least(F.abs(f - o), F.abs(f - (o + len(organ)))) <= reach)))
 
 
 def nearest(distances: dict[str, Column], target: str, margin: int = 25) -> Column:

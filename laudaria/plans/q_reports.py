@@ -151,6 +151,11 @@ def _(s, d):
     return _reports(s, d).select(*_KEY, F.exists(rp.sentences(norm_in_place(F.col("t")), "\n"), lambda x: x.contains("estenose") & x.contains("ileo")).alias("junto"))
 
 
+@query("eng7_near")
+def _(s, d):
+    return _reports(s, d).select(*_KEY, cl.near(F.col("t"), "estenose", "ileo").alias("perto"))
+
+
 _POS = "strpos(lower(text), '{}')"
 
 

@@ -136,6 +136,33 @@ def test_negation_windows(spark):
     assert [h["negated"] for h in strict] == [False]
 
 
+def test_near_against_brute_force(spark):
+    import random
+    import re
+
+    from laudaria.plans import catalog
+
+    def near(text, finding, organ, reach):
+        t = text.lower().translate(str.maketrans(tx.MARKED.lower(), tx.PLAIN.lower()))
+        at = lambda p: [m.start() for m in re.finditer(f"(?={re.escape(p)})", t)]
+        return any(min(abs(f - o), abs(f - o - len(organ))) <= reach for f in at(finding) for o in at(organ))
+
+    rng = random.Random(4)
+    texts = ["", "Íleo", "estenose", "Estenose\nno íleo", "ileoileo.estenose"]
+    texts += ["ileo" + "x" * n + "estenose" for n in (199, 200, 201)] + ["estenose" + "\n" * n + "íleo" for n in (191, 192, 193)]
+    texts += ["".join(rng.choice(["Íleo", "estenose", "\n", "ã" * rng.randrange(260), "a.b", "aa"]) for _ in range(rng.randrange(8))) for _ in range(150)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    for f, o, reach in (("estenose", "ileo", 200), ("aa", "a.b", 3), ("aaa", "ileo", 0)):
+        got = df.select("t", cl.near(F.col("t"), f, o, reach).alias("n")).collect()
+        assert [r["n"] for r in got if r["t"] is not None] == [near(t, f, o, reach) for t in texts]
+        assert [r["n"] for r in got if r["t"] is None] == [None]
+
+    d = "/root/testdata/sf0.001"
+    reports = spark.read.parquet(f"{d}/tb_diamond_mod_dii_saida.parquet").filter("exm_laudo_texto is not null").collect()
+    want = sorted((r["exm_an"] or "", str(r["dataExecucaoModelo"]), near(r["exm_laudo_texto"], "estenose", "ileo", 200)) for r in reports)
+    assert sorted((r["exm_an"] or "", str(r["dataExecucaoModelo"]), r["perto"]) for r in catalog.QUERIES["eng7_near"](spark, d).collect()) == want
+
+
 def test_category(spark):
     v = lambda t: one(spark, cl.category(F.col("t")), t=t)
     assert v("Conclusão: BI-RADS 4") == 4
