@@ -222,7 +222,7 @@ def _(s, d):
 @query("eng5_semantic_expand")
 def _(s, d):
     e = table(s, d, "embeddings").select("vec_id", "embedding", F.concat(F.lit("grupo "), F.col("label")).alias("nome"))
-    seeds = e.filter("vec_id % 50 = 0").dropDuplicates(["nome"]).groupBy(F.col("nome").alias("seed")).agg(F.first("embedding").alias("seed_vector"))
+    seeds = e.groupBy(F.col("nome").alias("seed")).agg(F.min_by("embedding", "vec_id").alias("seed_vector"))  # the first vector of each label
     return cl.expand(e, seeds, "nome", "embedding", ["vec_id"], least=0.3, k=24)
 
 

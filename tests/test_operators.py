@@ -163,6 +163,15 @@ def test_near_against_brute_force(spark):
     assert sorted((r["exm_an"] or "", str(r["dataExecucaoModelo"]), r["perto"]) for r in catalog.QUERIES["eng7_near"](spark, d).collect()) == want
 
 
+def test_seeds_of_every_label(spark, tmp_path):
+    from laudaria.plans import catalog
+
+    rows = [(3, "a", [1.0, 0.0]), (7, "a", [0.9, 0.1]), (9, "b", [0.0, 1.0]), (51, "b", [0.1, 0.9])]
+    spark.createDataFrame(rows, "vec_id long, label string, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    out = catalog.QUERIES["eng5_semantic_expand"](spark, str(tmp_path))
+    assert {r["seed"] for r in out.collect()} == {"grupo a", "grupo b"}
+
+
 def test_category(spark):
     v = lambda t: one(spark, cl.category(F.col("t")), t=t)
     assert v("Conclusão: BI-RADS 4") == 4
