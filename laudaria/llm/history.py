@@ -1,9 +1,13 @@
 """Deduplicating new batches against all history (problem 3).
 
-Accepted records leave their minwise band keys and their words in an index, partitioned by hash. A new batch computes
-its own keys, reads only the buckets it has keys in, keeps the pairs that share a key and whose
-signatures agree, compares their words, and appends what it accepts. The history's texts are read
-only where a key matches; nothing of the history is computed again.
+Accepted records leave their minwise band keys, each with the signature of its record, and their words in an index that is partitioned by hash. A new batch
+computes its own keys, reads only the buckets it has keys in, keeps the pairs that share a key and whose signatures agree, compares their
+words, and appends what it accepts. The history's texts are read only in the buckets of records met; nothing of the history is computed again.
+
+The index is a list of parts, each with its own number of buckets: a power of two that keeps a bucket near ``PER_BUCKET`` rows, so a
+record that is checked by itself reads at most one bucket for each of its keys in each part, however long the history. Whenever ``FAN`` parts are of
+one level they are merged into one of the next, so the parts grow as the logarithm of the batches and a key is written again once a level. A part is
+written beside its place and renamed into it; ``History(spark, path)`` opens what is there.
 
 The order is that of the rows (date, identifier, text). Inside a batch, records of one bucket of at most ``small_bucket`` are compared
 with each other, and the sequential rule is met in rounds: an undecided record that has no earlier undecided
@@ -13,10 +17,10 @@ that are no copies of each other the n * n / 2 that the rule asks for, in about
 of a bucket meet what is accepted in ``SALTS`` tasks. All in all the outcome is that of taking the rows one by one.
 
 Similarity: word edit distance of at most ``max_differ`` of the longer text, words compared without case, accents,
-punctuation and spacing (``words_of``). Keys are ``BANDS`` bands of ``ROWS`` minwise values over three-word shingles:
-shingles of five and a similarity of 0.8 would lose pairs that differ in a word in ten. Texts under ``SHORT`` words, and those of up to a ninth more that can be copies of them, have further keys over
-single words, and every text one of its whole, so equal texts always meet. Expected recall: 0.9999 at a twentieth of the words changed, 0.96 at a tenth
-spread evenly.
+punctuation and spacing (``words_of``). Keys are ``BANDS`` bands of ``ROWS`` minwise values over two-word shingles, the same shingle counted
+each time it comes: shingles of five and a similarity of 0.8 would lose pairs that differ in a word in ten. A tenth of the words changed
+touches at most a fifth of these shingles on either side, so the similarity of copies is at least 0.8 / 1.2 at any length, in texts that repeat themselves
+too, and the expected recall at least 0.997 for the worst pair (a tenth spread evenly), 0.999999 at a twentieth. Every text has a key of its whole, so equal texts always meet.
 
 Defined results: null and empty texts count by identifier only; a null identifier never matches; null dates come first;
 of rows equal in identifier, date and text all but one are rejected, so their key comes out as rejected; an empty batch gives an
@@ -39,15 +43,15 @@ from pyspark.sql import functions as F
 
 from laudaria.runtime import cut, ensure_checkpoint_dir, spread
 
-BANDS, ROWS, SHORT_BANDS, SHORT_ROWS, SHORT, SKETCH = 128, 6, 32, 3, 40, 64
-AGREE = 0.3  #: share of the sketch in which two texts must agree to be compared word by word; copies reach 0.54
-BUCKETS = 32
+BANDS, ROWS, BITS, SHORT = 64, 6, 128, 20
+APART = 40  #: bits of the signature in which two texts may differ to be compared word by word; of copies 21 or fewer on average, more than 40 once in 100,000
+PER_BUCKET, MOST_BUCKETS, FAN = 1 << 15, 1 << 16, 8  #: rows a bucket is meant to hold, most buckets of a part, parts of one level that are merged
 FRONT, SALTS = 256, 8  #: most rows of a crowded bucket that can be accepted in a round; tasks for the rows behind them
 _SEED = np.random.default_rng(20240501)
 _MUL = _SEED.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _ADD = _SEED.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 _FOLD = _SEED.integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
-_NAME = _SEED.integers(1, 1 << 63, BANDS + SHORT_BANDS, dtype=np.uint64)
+_NAME = _SEED.integers(1, 1 << 63, BANDS, dtype=np.uint64)
 
 
 def words_of(text: str) -> list[str]:
@@ -69,12 +73,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(28))
 
 
-def _shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words and of the distinct runs of three."""
+def _shingles(words: list[str]) -> np.ndarray:
+    """Hashes of the runs of two words; of equal runs each has its number in it."""
     with np.errstate(over="ignore"):
         h = np.array([_word(w) for w in words], np.uint64)
-        s = np.unique(_mix(h[:-2] * np.uint64(0x9E3779B97F4A7C15) + _mix(h[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + _mix(h[2:] ^ np.uint64(77))))
-        return h, s
+        s = np.sort(_mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + _mix(h[1:] ^ np.uint64(77))))
+        at = np.arange(len(s))
+        first = np.maximum.accumulate(np.where(np.append(True, s[1:] != s[:-1]), at, 0))
+        return _mix(s + (at - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def _lowest(values: np.ndarray, of: slice) -> np.ndarray:
@@ -87,25 +93,17 @@ def _lowest(values: np.ndarray, of: slice) -> np.ndarray:
     return low >> np.uint64(20)
 
 
-def keys_of(words: list[str]) -> np.ndarray:
-    """Band keys of a text, and one of the whole."""
+def signed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of a text and one of the whole; its signature of BITS bits, one of each minwise value: two texts differ in about half the share of their shingles that they don't share."""
     with np.errstate(over="ignore"):
-        keys = [_mix(np.array([_word(" ".join(words)) ^ 0x5555], np.uint64))]
-        if len(words) >= 9:  # of shorter texts no other is within a tenth; one of nine words and one of ten can be
-            h, s = _shingles(words)
-            low = _lowest(s, slice(0, BANDS * ROWS)).reshape(BANDS, ROWS)
-            keys.append(_mix((low * _FOLD).sum(axis=1, dtype=np.uint64) ^ _NAME[:BANDS]))
-            if len(h) <= SHORT * 10 // 9:  # all that can be within a tenth of a text under SHORT
-                low = _lowest(_mix(np.unique(h)), slice(0, SHORT_BANDS * SHORT_ROWS)).reshape(SHORT_BANDS, SHORT_ROWS)
-                keys.append(_mix((low * _FOLD[:SHORT_ROWS]).sum(axis=1, dtype=np.uint64) ^ _NAME[BANDS:]))
-        return np.concatenate(keys).astype(np.int64)
-
-
-def sketch_of(words: list[str]) -> bytes:
-    """A byte for each of SKETCH minwise values: two texts agree in about the share of their shingles that they share."""
-    if len(words) < SHORT:
-        return b"\0" * SKETCH  # always compared word by word
-    return (_mix(_lowest(_shingles(words)[1], slice(0, SKETCH))) & np.uint64(255)).astype(np.uint8).tobytes()
+        whole = _mix(np.array([_word(" ".join(words)) ^ 0x5555], np.uint64))
+        if len(words) < 9:  # of shorter texts no other is within a tenth; one of nine words and one of ten can be
+            return whole.astype(np.int64), np.zeros(2, np.int64)
+        low = _lowest(_shingles(words), slice(0, BANDS * ROWS))
+        keys = _mix((low.reshape(BANDS, ROWS) * _FOLD).sum(axis=1, dtype=np.uint64) ^ _NAME)
+        if len(words) < SHORT:  # always compared word by word
+            return np.concatenate([whole, keys]).astype(np.int64), np.zeros(2, np.int64)
+        return np.concatenate([whole, keys]).astype(np.int64), np.packbits((_mix(low[:BITS]) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
 def within(a: list[str], b: list[str], most: int) -> bool:
@@ -132,37 +130,16 @@ def within(a: list[str], b: list[str], most: int) -> bool:
     return False
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, ident, date, again, text) to (node, ident, date, again, words, sketch)."""
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, ident, date, again, text) to (node, ident, date, again, words, one, two, keys)."""
     for b in batches:
         words = [words_of(t) if t else [] for t in b.column(4).to_pylist()]
+        signs = [signed(w) if w else (np.zeros(0, np.int64), np.zeros(2, np.int64)) for w in words]
+        offsets = pa.array(np.concatenate([[0], np.cumsum([len(k) for k, _ in signs])]), pa.int32())
+        keys = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int64), *(k for k, _ in signs)])))
         joined = pa.array([" ".join(w) if w else None for w in words], pa.string())
-        yield pa.RecordBatch.from_arrays([*b.columns[:4], joined, pa.array([sketch_of(w) if w else None for w in words], pa.binary())], ["node", "ident", "date", "again", "words", "sketch"])
-
-
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, words) to (key, node), a row for each key."""
-    for batch in batches:
-        for i in range(0, batch.num_rows, 500):
-            b = batch.slice(i, 500)
-            keys = [keys_of(words.split(" ")) for words in b.column(1).to_pylist()]
-            if keys:
-                nodes = np.repeat(b.column(0).to_numpy(), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(nodes)], ["key", "node"])
-
-
-def _agree():
-    """Whether enough of two sketches agrees, or one of them is that of a short text."""
-
-    @F.pandas_udf("boolean")
-    def agree(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        x = np.frombuffer(b"".join(s.ljust(SKETCH, b"\0") for s in a), np.uint8).reshape(-1, SKETCH)
-        y = np.frombuffer(b"".join(s.ljust(SKETCH, b"\0") for s in b), np.uint8).reshape(-1, SKETCH)
-        return pd.Series(((x == y).mean(axis=1) >= AGREE) | ~x.any(axis=1) | ~y.any(axis=1))  # short texts have no sketch
-
-    return agree
+        one, two = (pa.array(np.array([x[i] for _, x in signs], np.int64)) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], joined, one, two, keys], ["node", "ident", "date", "again", "words", "one", "two", "keys"])
 
 
 def _same(max_differ: float):
@@ -183,60 +160,139 @@ def _same(max_differ: float):
 class History:
     """The index of accepted records under one folder that all executors share."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark = spark
+    KINDS = {"keys": "key long, node long, by_ident boolean, one long, two long, bucket int", "texts": "node long, words string, bucket int"}
+
+    def __init__(self, spark: SparkSession, path: str | None = None, per_bucket: int = PER_BUCKET):
+        self.spark, self.per_bucket = spark, per_bucket
         if path is None:
             ensure_checkpoint_dir(spark)
             path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/history-{uuid.uuid4().hex}"
         self.path = path
-        self.parts: list[str] = []  # batches appended so far, each a folder of its own
-
-    def stage(self, keys: DataFrame) -> DataFrame:
-        """Keys of the batch at hand, written in columns: they are read several times."""
-        path = f"{self.path}/work/part={len(self.parts):06d}"
-        keys.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        self._hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.parts: list[dict] = []  # number, level, and the buckets of keys and texts
+        self.read: dict[str, tuple[int, int]] = {}  # of the last probe: buckets read, buckets there
+        if self.fs.exists(self._hadoop(path)):
+            names = (str(f.getPath().getName()) for f in self.fs.listStatus(self._hadoop(path)))
+            found = sorted(tuple(int(x) for x in n.split("-")[1:]) for n in names if n.startswith("part-"))
+            covered = {n for number, level, *_ in found for n in self._under(number, level)}
+            self.parts = [dict(zip(("number", "level", "keys", "texts"), p, strict=True)) for p in found if p[:2] not in covered]
+        self.made = 1 + max((p["number"] for p in self.parts), default=-1)
+
+    @staticmethod
+    def _under(number: int, level: int) -> list[tuple[int, int]]:
+        """The parts that a merged one stands for, if a job ended between its renaming and their removal: it has the number of the last of them."""
+        return [(n, low) for low in range(level) for n in range(number - FAN**level + 1, number + 1)]
+
+    def _name(self, part: dict) -> str:
+        return f"{self.path}/part-{part['number']:08d}-{part['level']}-{part['keys']}-{part['texts']}"
 
     def _delete(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.fs.delete(self._hadoop(folder), True)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a step of the batch at hand beside the index, and go on from there."""
+        path = f"{self.path}/work/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def unstage(self) -> None:
-        """Delete the keys of batches that are done."""
+    def done(self) -> None:
+        """Delete the steps of batches that are done."""
         self._delete(f"{self.path}/work")
 
     def drop(self) -> None:
         """Delete the index."""
         self._delete(self.path)
 
-    def _read(self, kind: str) -> DataFrame | None:
-        return self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*(f"{self.path}/{kind}/part={p}" for p in self.parts)) if self.parts else None
+    def buckets(self, kind: str) -> int:
+        """Most buckets of any part: a power of two, as are the others."""
+        return max((p[kind] for p in self.parts), default=1)
+
+    def probe(self, kind: str, wanted: list[int] | None) -> DataFrame | None:
+        """Rows of the buckets that hold a key (or node) whose bucket of the finest part is ``wanted`` (None: all)."""
+        out, read = None, 0
+        for p in self.parts:
+            some = None if wanted is None else sorted({w & (p[kind] - 1) for w in wanted})
+            rows = self._table(p, kind)
+            if some is not None and len(some) < p[kind]:
+                rows = rows.filter(F.col("bucket").isin(some))
+            read += p[kind] if some is None else len(some)
+            out = rows if out is None else out.unionByName(rows)
+        self.read[kind] = (read, sum(p[kind] for p in self.parts))
+        return out
+
+    def _table(self, part: dict, kind: str) -> DataFrame:
+        return self.spark.read.schema(self.KINDS[kind]).option("basePath", f"{self._name(part)}/{kind}").parquet(f"{self._name(part)}/{kind}")
+
+    def _write(self, part: dict, tables: dict[str, DataFrame]) -> None:
+        """Written whole beside its place, then renamed: a part is there or not."""
+        aside = f"{self.path}/aside-{part['number']:08d}-{part['level']}"
+        for kind, df in tables.items():
+            by = "key" if kind == "keys" else "node"
+            bucketed = df.withColumn("bucket", F.col(by).bitwiseAND(F.lit(part[kind] - 1)).cast("int"))
+            n = min(part[kind], max(1, self.spark.sparkContext.defaultParallelism))
+            bucketed.repartition(n, "bucket").sortWithinPartitions("bucket", by).write.mode("overwrite").partitionBy("bucket").parquet(f"{aside}/{kind}")
+        self.fs.rename(self._hadoop(aside), self._hadoop(self._name(part)))
+
+    def _fit(self, rows: int) -> int:
+        n = 1
+        while n < MOST_BUCKETS and n * self.per_bucket < rows:
+            n *= 2
+        return n
+
+    def append(self, keys: DataFrame, texts: DataFrame, records: int) -> None:
+        """Add a batch's accepted records; ``records`` is about how many they are."""
+        part = {"number": self.made, "level": 0, "keys": self._fit(records * (BANDS + 2)), "texts": self._fit(records * 8)}
+        self._write(part, {"keys": keys, "texts": texts})
+        self.parts.append(part)
+        self.made += 1
+        while True:
+            last = [p for p in self.parts if p["level"] == self.parts[-1]["level"]]
+            if len(last) < FAN:
+                return
+            whole = {"number": last[-1]["number"], "level": last[-1]["level"] + 1} | {k: min(MOST_BUCKETS, self._fit(sum(p[k] for p in last) * self.per_bucket)) for k in self.KINDS}
+            self._write(whole, {k: reduce(DataFrame.unionByName, (self._table(p, k).drop("bucket") for p in last)) for k in self.KINDS})
+            for p in last:
+                self._delete(self._name(p))
+            self.parts = [p for p in self.parts if p not in last] + [whole]
+
+
+def prepare(batch: DataFrame, ident: str, date: str, text: str) -> DataFrame:
+    """``node, ident, date, again, words, one, two, keys`` of each distinct row: each by itself, nothing of other rows goes in."""
+    own = batch.select(F.col(ident).cast("string").alias("ident"), F.col(date).cast("date").alias("date"), F.col(text).cast("string").alias("text"))
+    own = own.withColumn("node", F.xxhash64("ident", F.col("date").cast("string"), F.md5(F.coalesce("text", F.lit("")))))
+    own = own.groupBy("node").agg(*(F.first(c).alias(c) for c in ("ident", "date", "text")), (F.count("*") > 1).alias("again"))
+    return spread(own.select("node", "ident", "date", "again", "text")).mapInArrow(_signed, "node long, ident string, date date, again boolean, words string, one long, two long, keys array<long>")
 
-    def keys(self) -> DataFrame | None:
-        """``part, bucket, key, node, by_ident`` of accepted records."""
-        return self._read("keys")
 
-    def texts(self) -> DataFrame | None:
-        """``part, bucket, node, words, sketch`` of accepted records."""
-        return self._read("texts")
+def _alike(a: str, b: str) -> F.Column:
+    """Whether identifiers met, or signatures agree; those of short texts are empty and agree with any."""
+    differ = sum((F.bit_count(F.col(f"{a}{x}").bitwiseXOR(F.col(f"{b}{x}"))) for x in ("one", "two")), F.lit(0))
+    empty = [(F.col(f"{s}one") == 0) & (F.col(f"{s}two") == 0) for s in (a, b)]
+    return F.col("by_ident") | (differ <= APART) | empty[0] | empty[1]
 
-    def append(self, keys: DataFrame, texts: DataFrame) -> None:
-        """Write a batch's accepted records; written again whole if it is run again."""
-        part = f"{len(self.parts):06d}"
-        for kind, df, by in (("keys", keys, "key"), ("texts", texts, "node")):
-            n = self.spark.sparkContext.defaultParallelism
-            bucketed = df.withColumn("bucket", F.pmod(F.xxhash64(by), F.lit(BUCKETS)).cast("int"))
-            bucketed.repartition(n, "bucket").sortWithinPartitions("bucket", by).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{kind}/part={part}")
-        self.parts.append(part)
+
+def _pairs(mine: DataFrame, known: DataFrame, old: bool) -> DataFrame:
+    """``node, other, by_ident, old``: pairs that share a key and may be copies; of one batch the later with the earlier."""
+    names = ["key", "by_ident", "node", "one", "two", *([] if old else ["ord"])]
+    theirs = known.select("key", "by_ident", *(F.col(n).alias(f"_{n}") for n in names[2:]))
+    met = theirs.join(mine, ["key", "by_ident"]).filter(_alike("", "_"))
+    met = met if old else met.filter("_ord < ord")
+    return met.select("node", F.col("_node").alias("other"), "by_ident", F.lit(old).alias("old"))
 
 
-def _confirmed(met: DataFrame, left: DataFrame, right: DataFrame, max_differ: float) -> DataFrame:
-    """Of the pairs (node, other, by_ident) that share a key, those whose identifiers or words agree: node of ``left``, other of ``right``."""
-    pairs = met.groupBy("node", "other").agg(F.bool_or("by_ident").alias("by_ident"))
-    near = pairs.filter("not by_ident").join(left.select("node", "sketch"), "node").join(right.select(F.col("node").alias("other"), F.col("sketch").alias("sketch2")), "other")
-    near = near.filter(_agree()("sketch", "sketch2")).select("node", "other")
-    texts = near.join(left.select("node", "words"), "node").join(right.select(F.col("node").alias("other"), F.col("words").alias("words2")), "other")
-    return pairs.filter("by_ident").select("node", "other").unionByName(texts.filter(_same(max_differ)("words", "words2")).select("node", "other"))
+def _confirmed(met: DataFrame, left: DataFrame, right: DataFrame, max_differ: float, few: bool = False) -> DataFrame:
+    """Of the distinct pairs (node, other, by_ident, old), those whose identifiers or words agree: node of ``left``, other of ``right``.
+
+    With ``few`` pairs (counted) they are sent to where the texts lie, else both are shuffled; of the history only the texts met are moved.
+    """
+    met = met.groupBy("node", "other", "old").agg(F.bool_or("by_ident").alias("by_ident"))
+    near = met.filter("not by_ident").select("node", "other", "old")
+    sent = F.broadcast(near) if few else near
+    a = left.select("node", "words").join(sent, "node")
+    b = right.select(F.col("node").alias("other"), F.col("words").alias("words2")).join(sent.select("node", "other"), "other")
+    same = a.join(b, ["node", "other"]).filter(_same(max_differ)("words", "words2"))
+    return met.filter("by_ident").select("node", "other", "old").unionByName(same.select("node", "other", "old"))
 
 
 def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str, max_differ: float = 0.1, small_bucket: int = 64) -> DataFrame:
@@ -244,78 +300,134 @@ def ingest(history: History, batch: DataFrame, ident: str, date: str, text: str,
 
     Returns ``ident, date, rejected`` with one row per distinct (identifier, date): rejected if any of its rows was.
     """
-    own = batch.select(F.col(ident).cast("string").alias("ident"), F.col(date).cast("date").alias("date"), F.col(text).cast("string").alias("text"))
-    own = own.withColumn("node", F.xxhash64("ident", F.col("date").cast("string"), F.md5(F.coalesce("text", F.lit("")))))
-    own = own.groupBy("node").agg(*(F.first(c).alias(c) for c in ("ident", "date", "text")), (F.count("*") > 1).alias("again"))
-    schema = "node long, ident string, date date, again boolean, words string, sketch binary"
-    nodes = cut(spread(own.select("node", "ident", "date", "again", "text")).mapInArrow(_nodes, schema))
-    by_text = spread(nodes.filter("words is not null").select("node", "words")).mapInArrow(_keys, "key long, node long").withColumn("by_ident", F.lit(False))
-    by_ident = nodes.filter("ident is not null").select(F.xxhash64(F.lit("ident"), "ident").alias("key"), "node", F.lit(True).alias("by_ident"))
-    keys = history.stage(by_text.unionByName(by_ident))
-
-    parts = []
-    old = history.keys()
-    if old is not None:  # probe the buckets that the batch has keys in
-        buckets = [r[0] for r in keys.select(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("b")).distinct().collect()]  # at most BUCKETS
-        known = old.filter(F.col("bucket").isin(buckets)).select("key", F.col("node").alias("other"))
-        parts.append(cut(_confirmed(keys.join(known, "key").select("node", "other", "by_ident"), nodes, history.texts(), max_differ).select("node").distinct()))
-
-    fresh = keys.join(parts[0], "node", "left_anti") if parts else keys
-    placed = fresh.repartition("key")
-    shared = placed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    own = history.keep(prepare(batch, ident, date, text), "own")
+    crowded = not _keys(own).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > small_bucket).isEmpty()
+    out = cut(_verdicts(decide(history, own, own.count(), crowded, max_differ, small_bucket)))
+    history.done()
+    return out
+
+
+def _verdicts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("ident", "date").agg(F.bool_or("rejected").alias("rejected"))
+
+
+def _keys(own: DataFrame, *more: str | F.Column) -> DataFrame:
+    """``key, node, by_ident, one, two``: the band keys of prepared rows, and one of each identifier."""
+    each = F.expr("concat(transform(keys, k -> struct(k as key, false as by_ident)), if(ident is null, array(), array(struct(xxhash64('ident', ident) as key, true as by_ident))))")
+    return own.select("node", "one", "two", *more, F.explode(each).alias("k")).select("k.key", "node", "k.by_ident", "one", "two", *(["ord"] if more else []))
+
+
+def decide(history: History, own: DataFrame, rows: int, crowded: bool, max_differ: float = 0.1, small_bucket: int = 64, few_rows: int = 100_000) -> DataFrame:
+    """``ident, date, rejected`` of each of the ``rows`` prepared rows of a batch, some of them in buckets over ``small_bucket`` if ``crowded``; what is accepted is appended.
+
+    Up to ``few_rows`` rows or pairs are broadcast, counted first (at most 66 keys a row of 40 bytes each, and 20 bytes a pair); beyond that they are shuffled.
+    """
     order = F.struct(F.coalesce(F.col("date").cast("string"), F.lit("")).alias("d"), F.coalesce("ident", F.lit("")).alias("i"), "node").alias("ord")
-    met = cut(placed.join(shared, "key").join(nodes.select("node", order), "node"))
-    small, hot = met.filter(F.col("n") <= small_bucket), met.filter(F.col("n") > small_bucket)
-    later = small.select("key", "node", "by_ident", "ord").join(small.select("key", F.col("node").alias("other"), F.col("ord").alias("before")), "key").filter("before < ord")
-    links = cut(_confirmed(later.select("node", "other", "by_ident"), nodes, nodes, max_differ))  # node comes after other
-    crowded = not hot.isEmpty()
+    keys = _keys(own, order)
+    small, hot = keys, None
+    if crowded:
+        counted = history.keep(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "counted")
+        small, hot = counted.filter(F.col("n") <= small_bucket), counted.filter(F.col("n") > small_bucket)
+    sent = (lambda df: F.broadcast(df)) if rows <= few_rows // 10 else (lambda df: df)
+    pairs = _pairs(sent(small), small, False)
+    if history.parts:
+        finest = history.buckets("keys")
+        wanted = None  # with 20 keys a bucket all are met
+        if rows * (BANDS + 2) < 20 * finest:
+            wanted = [r[0] for r in keys.select(F.col("key").bitwiseAND(F.lit(finest - 1)).cast("int")).distinct().collect()]  # at most MOST_BUCKETS
+        pairs = pairs.unionByName(_pairs(sent(keys.drop("ord")), history.probe("keys", wanted), True))
+    met = history.keep(pairs, "met")
+    finest = history.buckets("texts")
+    n_met, seen = met.agg(F.count("*"), F.collect_set(F.when(F.col("old") & ~F.col("by_ident"), F.col("other").bitwiseAND(F.lit(finest - 1)).cast("int")))).first()  # at most MOST_BUCKETS
+    right = own.select("node", "words")
+    history.read["texts"] = (0, sum(p["texts"] for p in history.parts))
+    if seen:
+        right = right.unionByName(history.probe("texts", seen).select("node", "words"))
+    bad, n_new = [], 0
+    if n_met:
+        links = history.keep(_confirmed(met, own, right, max_differ, n_met <= few_rows), "links")
+        n_new = links.filter("not old").limit(1).count()
+        bad.append(links.filter("old").select("node"))
+    if n_new or crowded:
+        bad += _rounds(history, own, links if n_met else met.select("node", "other", "old"), hot, max_differ)
+    state = own.withColumn("bad", F.lit(False))
+    if bad:
+        gone = reduce(DataFrame.unionByName, bad).distinct().withColumn("bad", F.lit(True))
+        state = history.keep(own.join(F.broadcast(gone) if rows <= few_rows else gone, "node", "left").withColumn("bad", F.coalesce("bad", F.lit(False))), "state")
+    new = state.filter("not bad")
+    history.append(_keys(new), new.filter("words is not null").select("node", "words"), rows)
+    return state.select("ident", "date", (F.col("bad") | F.col("again")).alias("rejected"))
+
+
+def _rounds(history: History, own: DataFrame, links: DataFrame, hot: DataFrame | None, max_differ: float) -> list[DataFrame]:
+    """Records of the batch that the sequential rule rejects for others of the batch, by rounds. Links are of later records (node) with earlier ones (other) or old ones; ``hot`` has the keys of crowded buckets."""
+    known = links.filter("old").select("node").distinct()
+    links = links.filter("not old").select("node", "other")
+    for side in ("node", "other"):
+        links = links.join(known.withColumnRenamed("node", side), side, "left_anti")
     open_ = links.select("node").unionByName(links.select(F.col("other").alias("node")))
-    open_ = cut((open_.unionByName(hot.select("node")) if crowded else open_).distinct())
-    width = 1  # rows at the front of a crowded bucket that are compared with each other in a round
+    if hot is not None:
+        open_ = open_.unionByName(hot.join(known, "node", "left_anti").select("node"))
+    links, open_ = history.keep(links, "fresh"), history.keep(open_.distinct(), "open")
+    bad: list[DataFrame] = []
+    width, turn = 1, 0  # rows at the front of a crowded bucket that are compared with each other in a round
     while not open_.isEmpty():  # the first of all open records is always taken
-        left = links.join(open_, "node", "left_semi").join(open_.select(F.col("node").alias("other")), "other", "left_semi")
+        left = links.join(open_, "node", "left_semi").join(open_.select(F.col("node").alias("other")), "other", "left_semi").select("node", "other")
         waits = left.select("node")
-        if crowded:
+        if hot is not None:
             there = hot.join(open_, "node", "left_semi")
-            front = cut(there.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("ord"))).filter(F.col("place") <= width).drop("place"))
+            front = history.keep(there.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("ord"))).filter(F.col("place") <= width).drop("place"), f"front-{turn}")
             rest = there.join(front.select("key", "node"), ["key", "node"], "left_anti")
             if width > 1:
-                after = front.join(front.select("key", F.col("node").alias("other"), F.col("ord").alias("before")), "key").filter("before < ord")
-                left = left.select("node", "other").unionByName(cut(_confirmed(after.select("node", "other", "by_ident"), nodes, nodes, max_differ)))
+                left = left.unionByName(history.keep(_confirmed(_pairs(front, front, False), own, own, max_differ).select("node", "other"), f"after-{turn}"))
             waits = left.select("node").unionByName(rest.select("node"))
         taken = open_.join(waits.distinct(), "node", "left_anti")
-        if crowded:
-            taken = cut(taken)
+        if hot is not None:
+            taken = history.keep(taken, f"taken-{turn}")
         out = left.join(taken.select(F.col("node").alias("other")), "other", "left_semi").select("node")
-        if crowded:  # what is taken meets the rows behind the front, those of a bucket in several tasks
-            ahead = front.join(taken, "node", "left_semi").select("key", F.col("node").alias("other"), F.col("ord").alias("before"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-            behind = rest.withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(ahead, ["key", "salt"]).filter("before < ord").select("node", "other", "by_ident")
-            out = out.unionByName(_confirmed(behind, nodes, nodes, max_differ).select("node"))
-        out = cut(out.distinct())
-        parts.append(out)
-        open_ = cut(open_.join(taken, "node", "left_anti").join(out, "node", "left_anti"))
-        width = min(4 * width, FRONT)
-    bad = reduce(DataFrame.unionByName, parts) if parts else nodes.select("node").limit(0)
-    state = cut(nodes.join(bad.distinct().withColumn("bad", F.lit(True)), "node", "left"))
-    taken = state.filter("bad is null")
-    history.append(keys.join(taken, "node", "left_semi"), taken.filter("words is not null").select("node", "words", "sketch"))
-    history.unstage()
-    return state.groupBy("ident", "date").agg(F.bool_or(F.coalesce("bad", F.lit(False)) | F.col("again")).alias("rejected"))
-
-
-def replay(records: DataFrame, ident: str, date: str, text: str, runs_per_batch: int = 30, history: History | None = None) -> DataFrame:
-    """All runs from the first to the last, some runs to a batch: ``ident, date, rejected``.
-
-    Without a ``history`` an index is made for the call and deleted at its end. The outcome doesn't depend on ``runs_per_batch``; a daily job passes each run to ``ingest`` by itself.
+        if hot is not None:  # what is taken meets the rows behind the front, those of a bucket in several tasks
+            salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+            ahead = front.join(taken, "node", "left_semi").select("key", "by_ident", F.col("node").alias("other"), F.col("ord").alias("_ord"), F.col("one").alias("_one"), F.col("two").alias("_two"), salts)
+            behind = rest.withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(ahead, ["key", "by_ident", "salt"]).filter("_ord < ord").filter(_alike("", "_"))
+            out = out.unionByName(_confirmed(behind.select("node", "other", "by_ident", F.lit(False).alias("old")), own, own, max_differ).select("node"))
+        step = open_.join(taken.withColumn("taken", F.lit(True)), "node", "left").join(out.distinct().withColumn("out", F.lit(True)), "node", "left")
+        step = history.keep(step, f"step-{turn}")
+        bad.append(step.filter("out").select("node"))
+        open_ = step.filter("taken is null and out is null").select("node")
+        width, turn = min(4 * width, FRONT), turn + 1
+    return bad
+
+
+def replay(records: DataFrame, ident: str, date: str, text: str, runs_per_batch: int = 6, history: History | None = None, rows_per_file: int = 50_000, small_bucket: int = 64) -> DataFrame:
+    """All runs from the first to the last, ``runs_per_batch`` to a batch: ``ident, date, rejected``.
+
+    A batch takes some ten small jobs, whatever its size, which is why a replay takes some runs together; a daily job passes each run to ``ingest``
+    by itself. The rows are prepared once and laid out by run, as such a job would find them. Without a ``history`` an
+    index is made for the call and deleted at its end. The outcome doesn't depend on ``runs_per_batch``.
     """
     own, history = history is None, history or History(records.sparkSession)
-    dates = sorted((r[0] for r in records.select(F.col(date).cast("date")).distinct().collect()), key=lambda d: (d is not None, d))  # runs, not records
-    out = None
-    for i in range(0, max(1, len(dates)), runs_per_batch):
-        some = dates[i : i + runs_per_batch]
-        mine = F.col(date).cast("date").isin([d for d in some if d is not None])
-        part = ingest(history, records.filter(mine | F.col(date).isNull() if None in some else mine), ident, date, text)
-        out = part if out is None else out.unionByName(part)
+    sizes = {r[0]: r[1] for r in records.groupBy(F.col(date).cast("date")).count().collect()}  # runs, not records
+    dates = sorted(sizes, key=lambda d: (d is not None, d))
+    laid, verdicts = f"{history.path}/laid", f"{history.path}/verdicts"
+    ready = prepare(records, ident, date, text)
+    ready = ready.withColumn("run", F.coalesce(F.col("date").cast("string"), F.lit("none")))
+    files = 1 + max(sizes.values(), default=0) // rows_per_file
+    ready.repartition(F.col("run"), F.pmod("node", F.lit(files))).write.mode("overwrite").partitionBy("run").parquet(laid)
+    runs = records.sparkSession.read.schema(ready.schema).parquet(laid)
+    batches = [dates[i : i + runs_per_batch] for i in range(0, len(dates), runs_per_batch)]
+    name = lambda d: "none" if d is None else str(d)
+    number = F.create_map(*(F.lit(x) for i, some in enumerate(batches) for d in some for x in (name(d), i))) if dates else F.lit(0)
+    keyed = _keys(runs.withColumn("batch", number[F.col("run")]), F.col("batch").alias("ord")) if dates else None
+    crowded = {r[0] for r in keyed.groupBy("ord", "key").agg(F.count("*").alias("n")).filter(F.col("n") > small_bucket).select("ord").distinct().collect()} if dates else set()  # numbers of batches
+    for i, some in enumerate(batches):
+        mine = runs.filter(F.col("run").isin([name(d) for d in some])).drop("run")
+        decide(history, mine, sum(sizes[d] for d in some), i in crowded, small_bucket=small_bucket).write.mode("append").parquet(verdicts)
+        history.done()
+    if not dates:
+        return runs.select("ident", "date", F.lit(False).alias("rejected"))
+    out = cut(_verdicts(records.sparkSession.read.schema("ident string, date date, rejected boolean").parquet(verdicts)))
+    for folder in (laid, verdicts):
+        history._delete(folder)
     if own:  # the outcome is kept apart from the index
         history.drop()
     return out

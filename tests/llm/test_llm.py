@@ -159,11 +159,11 @@ def test_a_crowded_bucket_of_different_texts_takes_few_rounds(spark, monkeypatch
         if i % 8 == 0:
             rows.append(("2024-01-01", f"{(i * 37) % 80:03d}x", changed(rng, own, 3)))
     df = spark.createDataFrame([(i, d, t) for d, i, t in rows], "exm_an string, d string, t string")
-    cuts, plain = [], history.cut
-    monkeypatch.setattr(history, "cut", lambda df: cuts.append(1) or plain(df))
+    steps, plain = [], history.History.keep
+    monkeypatch.setattr(history.History, "keep", lambda self, df, name: steps.append(name) or plain(self, df, name))
     out = history.ingest(history.History(spark), df, "exm_an", "d", "t", small_bucket=4)
     assert {(r["ident"], str(r["date"])) for r in out.filter("rejected").collect()} == greedy(rows)
-    assert len(cuts) < 60
+    assert sum(s.startswith("step-") for s in steps) < 12
 
 
 @pytest.mark.parametrize("runs_per_batch", [1, 10])
@@ -183,6 +183,44 @@ def test_copies_on_both_sides_of_the_short_texts(spark, runs_per_batch):
     assert got == greedy(rows) == {(i, d) for d, i, _ in rows if i.endswith("-1") and i[0] != "0"}
 
 
+def test_one_record_reads_a_few_per_cent_of_the_history(spark, tmp_path):
+    rng = random.Random(12)
+    texts = [report(rng, 80) for _ in range(400)]
+    index = history.History(spark, str(tmp_path / "index"), per_bucket=8)
+    df = spark.createDataFrame([(f"{i:03d}", "2024-01-01", t) for i, t in enumerate(texts)], "i string, d string, t string")
+    assert history.ingest(index, df, "i", "d", "t").filter("rejected").count() == 0
+    index = history.History(spark, str(tmp_path / "index"), per_bucket=8)  # opened again, as a later job does
+    assert index.buckets("keys") == 4096
+    one = spark.createDataFrame([("new", "2024-01-02", changed(rng, texts[7], 8))], "i string, d string, t string")
+    assert [r["rejected"] for r in history.ingest(index, one, "i", "d", "t").collect()] == [True]
+    (keys, all_keys), (met, all_texts) = index.read["keys"], index.read["texts"]
+    assert keys <= 66 < 0.02 * all_keys and met < 0.02 * all_texts
+
+
+def test_merged_parts_hold_what_they_stand_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "FAN", 2)
+    rng = random.Random(13)
+    index = history.History(spark, str(tmp_path / "index"), per_bucket=64)
+    texts = [report(rng, 80) for _ in range(5)]
+    for day, t in enumerate(texts):
+        history.ingest(index, spark.createDataFrame([(f"{day}", f"2024-01-0{day + 1}", t)], "i string, d string, t string"), "i", "d", "t")
+    assert [p["level"] for p in index.parts] == [2, 0]
+    index = history.History(spark, str(tmp_path / "index"), per_bucket=64)
+    again = spark.createDataFrame([(f"x{k}", "2024-02-01", t) for k, t in enumerate(texts)] + [("3", "2024-02-02", None)], "i string, d string, t string")
+    assert history.ingest(index, again, "i", "d", "t").filter("rejected").count() == 6
+
+
+def test_recall_of_the_keys_at_a_tenth_spread_evenly():
+    rng = random.Random(14)
+    met = 0
+    for k in range(300):
+        base = [f"p{rng.randrange(300)}" for _ in range(100)] if k % 2 else [f"p{rng.randrange(10)}" for _ in range(100)]  # half of them repeat themselves
+        other = [f"novo{i}" if i % 10 == 5 else w for i, w in enumerate(base)]
+        (a, x), (b, y) = history.signed(base), history.signed(other)
+        met += bool(set(a) & set(b)) and sum(bin(int(i) & (2**64 - 1) ^ int(j) & (2**64 - 1)).count("1") for i, j in zip(x, y, strict=True)) <= history.APART
+    assert met >= 0.985 * 300
+
+
 def test_history_edges(spark):
     df = spark.createDataFrame([("a", None, "x"), ("a", None, "x"), (None, "2024-01-01", None), (None, "2024-01-02", None)], "i string, d string, t string")
     out = {(r["ident"], str(r["date"])): r["rejected"] for r in history.replay(df, "i", "d", "t").collect()}
