@@ -1,14 +1,17 @@
 """Template residue, filler, error pages and script notices (problem 2).
 
-Normalised lines are counted by host (the unit that sent the report); a line found in at least ``recurrent_share`` of a host's
-records, and in ``recurrent_records`` of them, is boilerplate of that host and is subtracted. A record is marked
-if what is left holds evidence of one of four kinds: ``modelo`` (an unfilled placeholder or blank), ``enchimento`` (filler or
-test text), ``erro`` (an error message), ``script`` (a notice that scripts or the like are needed).
-
-Evidence is strong or weak. Strong evidence (a delimited field name, a stack trace, a status line) can't be
-boilerplate, so a host of which a third of all records is one error page doesn't hide it; weak evidence (words also
-said in reports) counts only in lines that are not boilerplate. So only lines with weak evidence need counting; their counts are over all
-records, combined before the shuffle, and no host is one task. The texts are read in Arrow batches: some hundred patterns, each behind a plain
+Normalised lines are counted by host (the unit that sent the report); a line that recurs in a host's records is boilerplate of that host and is
+subtracted. A record is marked if what is left holds evidence of one of four kinds: ``modelo`` (an unfilled placeholder or blank),
+``enchimento`` (filler or test text), ``erro`` (an error message), ``script`` (a notice that scripts or the like are needed).
+
+Subtraction comes before judgement for every line with evidence of filler, errors or scripts. How often a line has to recur depends on what it says: a line
+of words that reports say too (weak evidence) in ``recurrent_share`` of the host's records and ``recurrent_records`` of them; a line that says one thing
+only (a stack trace, "habilite o JavaScript") in ``footer_share`` of the host's records and ``footer_records`` of them, as the footer of a portal does. So a
+message that a part of the reports breaks off into is no footer. Two things can't be subtracted: an unfilled placeholder, which is a case wherever it
+stands, and the evidence of a record that is nothing else (fewer than ``LEAST_LEFT`` letters outside the lines with evidence), so a host of which most records are one error page doesn't hide it.
+
+Only lines with evidence need counting, as no other line can be what marks a record; their counts are over all
+records, combined before the shuffle, and no host is one task. The texts are read once, in Arrow batches: some hundred patterns, each behind a plain
 string, are several times faster there than as one generated expression.
 
 Defined results: null and empty texts are not marked; rows of one key count together in ``found`` and stay apart in ``mark``;
@@ -46,17 +49,16 @@ TEMPLATE = [
 FILLER = [
     ("lorem", "lorem ipsum"), ("asdf", "(?<![a-z])asdf"), ("qwer", "(?<![a-z])qwer"), ("zxcv", "(?<![a-z])zxcv"), ("*letters", "(?<![a-z0-9])([a-hj-z])\\1\\1++[ \\n]+([a-hj-z])\\2\\2++(?![a-z0-9])"),
     ("*words", "(?<![a-z])([a-z]{3,}+)(?:[ ,.\\n]+\\1(?![a-z])){2,}"), ("*words", "(?<![a-z])([a-z]{3,}+ [a-z]{2,}+)(?:[ ,.\\n]+\\1(?![a-z])){2,}"), ("*words", "(?<![a-z])([a-z]{3,}+ [a-z]{2,}+ [a-z]{2,}+)(?:[ ,.\\n]+\\1(?![a-z])){2,}"),
-    ("texto do laudo", "(?:digite|insira|escreva|cole) (?:aqui )?o texto do laudo"), ("digite aqui", "digite aqui"), ("inserir ", "(?:^|\\n)\\W*inserir (?:a |o )?(?:conclusao|laudo|texto|descricao|impressao|analise)\\b"), ("preencher ", "(?:^|\\n)\\W*preencher (?:a |o )?(?:conclusao|laudo|texto|descricao|impressao|analise)\\b"), ("padrao do modelo", "texto padrao do modelo"), ("antes de liberar", "substituir antes de liberar"),
+    ("texto do laudo", "(?:digite|insira|escreva|cole) (?:aqui )?o texto do laudo"), ("digite aqui", "digite aqui"), ("inserir ", "(?:^|\\n)\\W*inserir (?:a |o )?(?:conclusao|laudo|texto|descricao|impressao|analise)\\b"), ("preencher ", "(?:^|\\n)\\W*preencher (?:a |o )?(?:conclusao|laudo|texto|descricao|impressao|analise)\\b"), ("padrao do modelo", "texto padrao do modelo"), ("texto d", "(?:^|\\n|<br ?/?>|<p>)\\W*texto d[ae] (?:analise|conclusao|descricao|tecnica|impressao|indicacao)\\b"), ("teste de ", "testes? de (?:integracao|carga|envio|sistema|interface)(?: \\d+)?\\W*(?:$|\\n)"), ("antes de liberar", "substituir antes de liberar"),
     ("desconsiderar", "desconsiderar\\W*$|- desconsiderar"), ("favor ", "favor (?:ignorar|desconsiderar)"), (" de teste", "(?:carga|registro|laudo|dado|texto|mensagem|exame|paciente)s? de teste"), ("ficti", "(?:registro|laudo|paciente|exame) fictici[oa]"), ("para ", "para (?:treino|treinamento|homologacao)"), ("homologacao", "homologacao \\d+"), (". . . .", "(?:^|\\n)\\W*(?:\\. ){4,}\\.?"),
     ("", "^\\W*(?:testes?|laudo|laudo teste|teste laudo|texto|a definir|a preencher|tbd|todo|n/a|na|x+|em branco|exemplo)(?: ?\\d+)?\\W*$"), ("a definir", "(?:^|\\n)[^a-z\\n]*a definir[^a-z\\n]*(?:$|\\n)"), ("a preencher", "(?:^|\\n)[^a-z\\n]*a preencher[^a-z\\n]*(?:$|\\n)"),
 ]
 ERROR = [
-    ("traceback", "traceback \\(most recent call last\\)"), ("error", "(?<![a-z])[a-z]+error(?::|$|\\n)|internal server error|syntax error|\"error\" ?:"), ("exception", "[a-z]exception\\b"), (" at ", ""), ("\tat ", "\\tat [a-z_$][\\w.$<>]+\\("), (".java:", "\\.java:\\d+"), ("line ", "file \"[^\"\\n]+\", line \\d+"),
+    ("traceback", "traceback \\(most recent call last\\)"), ("error", "(?<![a-z])[a-z]+error(?::|$|\\n)|internal server error|syntax error|\"error\" ?:"), ("exception", "[a-z]exception\\b"), ("\tat ", "\\tat [a-z_$][\\w.$<>]+\\("), (".java:", "\\.java:\\d+"), ("line ", "file \"[^\"\\n]+\", line \\d+"),
     *((x, f"(?<!\\d)[45]\\d\\d {x}") for x in ("bad gateway", "bad request", "unauthorized", "forbidden", "not found", "service unavailable", "gateway time", "proxy error", "too many requests")), ("http", "http(?:/\\d(?:\\.\\d)?| status| error)? ?-? ?[45]\\d\\d(?!\\d)"), ("\"status\"", "\"status\" ?: ?\"?[45]\\d\\d"), ("status code", "status code:? [45]\\d\\d"), ("bad gateway", "bad gateway"),
     *((x, x) for x in ("request blocked", "automated traffic", "access denied", "permission denied", "page not found", "connection refused", "connection reset", "connection timed out", "stack trace", "stacktrace", "segmentation fault", "sqlstate", "nao tem permissao para", "sessao expirada", "sessao encerrada", "sessao invalida", "pagina que voce procura", "temporariamente indisponivel", "fora do ar", "ocorreu um erro", "erro inesperado", "erro interno", "erro desconhecido", "protocolo do erro", "tempo limite da requisicao", "tempo limite da conexao", "tempo limite da sessao", "tempo limite de resposta", "nao foi possivel carregar", "nao foi possivel abrir", "nao foi possivel exibir", "nao foi possivel processar", "excecao nao tratada", "nullpointer", "null pointer")),
     ("acesso negado", "acesso negado\\W*(?:$|\\n)|acesso negado\\."), ("login", "faca (?:o )?login"), ("encontrada", "pagina nao (?:foi )?encontrada"), ("indisponivel", "(?:servico|sistema|servidor|recurso|site|pagina)[a-z ]{0,20} indisponivel"), ("erro ", "erro (?:ao (?:processar|carregar|abrir|gerar|consultar|conectar|obter|ler)|(?:n[.o]* ?)?[45]\\d\\d(?!\\d))"), ("falha ", "falha (?:ao|na) (?:processar|carregar|abrir|gerar|consultar|conexao|comunicacao|requisicao|autenticacao)"), ("tente novamente", "tente novamente (?:em|mais tarde|dentro)"), ("nao localizado", "recurso .{0,60}nao localizado|documento nao localizado"), ("nao encontrado", "recurso .{0,60}nao encontrado|documento nao encontrado"), ("ora-", "ora-\\d{5}"),
 ]
-ERROR.remove((" at ", ""))
 SCRIPT = [
     ("javascript", "javascript"), ("<noscript", "<noscript"), ("script", "(?:enable|requires?|ativ\\w+|habilit\\w+|permit\\w+) (?:os? |the )?scripts?(?![a-z])|scripts? (?:ativos|ativados|habilitados|to be enabled|(?:is|are) (?:required|disabled|blocked)|(?:estao|estejam) (?:bloqueados|desativados|ativos)|desabilitados)|suporte a scripts"), ("cookies", "(?:enable|ative|habilite|permita|ativar|aceite) (?:os? |the )?cookies"),
     ("navegador", "navegador (?:nao (?:oferece|tem|possui)|desatualizado|incompativel)"), ("conexao e segura", "verificando se a conexao e segura"), ("checking ", "checking (?:if|your) .{0,40}(?:secure|browser)"), ("carregando ", "carregando o (?:visualizador|laudo|documento)"), ("browser ", "(?:your|this) browser (?:does not|doesn't|is not)"),
@@ -69,6 +71,7 @@ WEAK = {
 }
 _FILLED = "\\(\\s*[xX✓✔*]\\s*\\)|\\[\\s*[xX✓✔*]\\s*\\]"
 _BOXES = "(?:\\(\\s*\\)|\\[\\s*\\]) ?[^\\W\\d_]{2,}[^\\n]{0,40}(?:\\(\\s*\\)|\\[\\s*\\]) ?[^\\W\\d_]{2,}"
+LEAST_LEFT = 120  #: letters outside the lines with evidence, below which a record is nothing but them
 LINES = "\\r\\n|\\\\r\\\\n|\\\\n|\\n|<br ?/?>|</p>"
 
 
@@ -108,25 +111,39 @@ class Evidence:
             kinds.append("modelo")
         return kinds
 
-    def weak(self, low: str) -> list[tuple[str, str]]:
-        if not any(w in low for words in WEAK.values() for w in words):
-            return []
-        return sorted({(re.sub("[0-9]+", "0", x).strip(), k) for x in self.lines.split(low) for k, words in WEAK.items() if any(w in x for w in words)})
+    def lines_of(self, low: str, kinds: list[str]) -> tuple[list[tuple[str, str, bool]], set[str], int]:
+        """Lines with evidence as (line, kind, whether it says one thing only); the kinds that some line shows by itself; letters in the other lines."""
+        out, shown, left = set(), set(), 0
+        for x in self.lines.split(low):
+            sure = {k for k in kinds if any(g[:1] != "*" and g and g in x and (p is None or p.search(x)) for g, p in self.low[k])}
+            weak = {k for k, words in WEAK.items() if any(w in x for w in words)} - sure
+            line = re.sub("[0-9]+", "0", x).strip()
+            out |= {(line, k, True) for k in sure} | {(line, k, False) for k in weak}
+            shown |= sure
+            left += 0 if sure else sum(map(str.isalpha, x))
+        return sorted(out), shown, left
 
     def of(self, text: str | None) -> dict:
+        """``strong``: kinds that nothing can be subtracted from; ``lines``: evidence that counts where its line is not boilerplate."""
         if not text:
-            return {"strong": [], "weak": []}
+            return {"strong": [], "lines": []}
         low = self.fold(text)
-        return {"strong": self.strong(text, low), "weak": [{"line": x, "kind": k} for x, k in self.weak(low)]}
+        strong = self.strong(text, low)
+        kinds = [k for k in strong if k in self.low]
+        if not kinds and not any(w in low for words in WEAK.values() for w in words):
+            return {"strong": strong, "lines": []}
+        lines, shown, left = self.lines_of(low, kinds)
+        kept = [k for k in strong if k not in shown or left < LEAST_LEFT]
+        return {"strong": kept, "lines": [{"line": x, "kind": k, "sure": sure} for x, k, sure in lines if k not in kept]}
 
 
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Append the evidence to the columns before the text, which comes last and stays."""
     evidence = Evidence()
-    kind = pa.list_(pa.struct([("line", pa.string()), ("kind", pa.string())]))
+    kind = pa.list_(pa.struct([("line", pa.string()), ("kind", pa.string()), ("sure", pa.bool_())]))
     for b in batches:
         found = [evidence.of(t) for t in b.columns[-1].to_pylist()]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f["strong"] for f in found], pa.list_(pa.string())), pa.array([f["weak"] for f in found], kind)], [*b.schema.names, "strong", "weak"])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f["strong"] for f in found], pa.list_(pa.string())), pa.array([f["lines"] for f in found], kind)], [*b.schema.names, "strong", "lines"])
 
 
 def _own(records: DataFrame, keys: list[str], host_col: str, text_col: str) -> DataFrame:
@@ -134,36 +151,40 @@ def _own(records: DataFrame, keys: list[str], host_col: str, text_col: str) -> D
 
 
 def _seen(own: DataFrame, keys: list[str]) -> DataFrame:
-    schema = ", ".join([*(f"`{k}` string" for k in keys), "_host string, _text string, strong array<string>, weak array<struct<line: string, kind: string>>"])
+    schema = ", ".join([*(f"`{k}` string" for k in keys), "_host string, _text string, strong array<string>, lines array<struct<line: string, kind: string, sure: boolean>>"])
     return own.mapInArrow(_evidence, schema)
 
 
-def _kinds(seen: DataFrame, own: DataFrame, recurrent_share: float, recurrent_records: int) -> DataFrame:
-    """Add ``kinds`` to records with weak evidence: their lines are counted by host over all records, and recurrent ones subtracted."""
-    lines = seen.filter(F.size("weak") > 0).select("_host", F.explode(F.array_distinct(F.col("weak.line"))).alias("line")).groupBy("_host", "line").agg(F.count("*").alias("n"))
+def _kinds(seen: DataFrame, own: DataFrame, recurrent: tuple[float, int], footer: tuple[float, int]) -> DataFrame:
+    """Add ``kinds`` to records with lines of evidence: the lines are counted by host over all records, and recurrent ones subtracted."""
+    held = seen.filter(F.size("lines") > 0)
+    lines = held.select("_host", F.explode("lines").alias("x")).groupBy("_host", "x.line", "x.sure").agg(F.count("*").alias("n"))
     sizes = own.groupBy(F.col("_host").alias("h")).agg(F.count("*").alias("size"))
-    boilerplate = lines.join(sizes, F.col("_host").eqNullSafe(F.col("h"))).filter((F.col("n") >= recurrent_records) & (F.col("n") >= recurrent_share * F.col("size")))
+    often = lambda share, records: (F.col("n") >= records) & (F.col("n") >= share * F.col("size"))
+    boilerplate = lines.join(sizes, F.col("_host").eqNullSafe(F.col("h"))).filter(F.when(F.col("sure"), often(*footer)).otherwise(often(*recurrent)))
     known = boilerplate.groupBy(F.col("_host").alias("h2")).agg(F.collect_set("line").alias("known"))  # few lines: each fills a share of its host's records
-    residual = F.when(F.col("known").isNull(), F.col("weak")).otherwise(F.filter("weak", lambda x: ~F.array_contains(F.col("known"), x["line"])))
+    residual = F.when(F.col("known").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("known"), x["line"])))
     kinds = F.array_sort(F.array_distinct(F.concat("strong", F.transform(residual, lambda x: x["kind"]))))
-    return seen.filter(F.size("weak") > 0).join(known, F.col("_host").eqNullSafe(F.col("h2")), "left").withColumn("kinds", kinds)
+    return held.join(known, F.col("_host").eqNullSafe(F.col("h2")), "left").withColumn("kinds", kinds)
 
 
 def mark(
-    records: DataFrame, keys: list[str], host_col: str = "host", text_col: str = "text", recurrent_share: float = 0.03, recurrent_records: int = 5
-) -> DataFrame:
-    """``keys, text, kinds``: every row with the kinds of evidence in it, an empty array where it is a report."""
+    records: DataFrame, keys: list[str], host_col: str = "host", text_col: str = "text",
+    recurrent_share: float = 0.03, recurrent_records: int = 5, footer_share: float = 0.5, footer_records: int = 20,
+) -> DataFrame:
+    """``keys, text, kinds``: every row with the kinds of evidence in it, an empty array where it is a report. The texts are read once and written once."""
     own = _own(records, keys, host_col, text_col)
-    seen = _seen(own, keys)
-    weak = _kinds(seen, own, recurrent_share, recurrent_records).select(*keys, F.col("_text").alias("text"), "kinds")
-    return seen.filter(F.size("weak") == 0).select(*keys, F.col("_text").alias("text"), F.array_sort("strong").alias("kinds")).unionByName(weak)
+    seen = cut(_seen(own, keys))
+    weak = _kinds(seen, own, (recurrent_share, recurrent_records), (footer_share, footer_records)).select(*keys, F.col("_text").alias("text"), "kinds")
+    return seen.filter(F.size("lines") == 0).select(*keys, F.col("_text").alias("text"), F.array_sort("strong").alias("kinds")).unionByName(weak)
 
 
 def found(
-    records: DataFrame, keys: list[str], host_col: str = "host", text_col: str = "text", recurrent_share: float = 0.03, recurrent_records: int = 5
-) -> DataFrame:
+    records: DataFrame, keys: list[str], host_col: str = "host", text_col: str = "text",
+    recurrent_share: float = 0.03, recurrent_records: int = 5, footer_share: float = 0.5, footer_records: int = 20,
+) -> DataFrame:
     """``keys`` of the marked records, each once; only records with evidence are written in between, without their texts."""
     own = _own(records, keys, host_col, text_col)
-    hits = cut(_seen(own, keys).filter((F.size("strong") > 0) | (F.size("weak") > 0)).drop("_text"))
+    hits = cut(_seen(own, keys).filter((F.size("strong") > 0) | (F.size("lines") > 0)).drop("_text"))
     strong = hits.filter(F.size("strong") > 0).select(*keys)
-    return strong.unionByName(_kinds(hits, own, recurrent_share, recurrent_records).filter(F.size("kinds") > 0).select(*keys)).distinct()
+    return strong.unionByName(_kinds(hits, own, (recurrent_share, recurrent_records), (footer_share, footer_records)).filter(F.size("kinds") > 0).select(*keys)).distinct()

@@ -96,6 +96,21 @@ def test_recurrent_weak_lines_are_boilerplate(spark):
     assert [r[0] for r in residue.found(df, ["exm_an"]).collect()] == ["x"]
 
 
+def test_a_footer_of_a_portal_is_no_residue(spark):
+    body = "Fígado de dimensões normais, contornos regulares. Vesícula biliar sem cálculos. Baço e pâncreas sem alterações evidentes. Rins tópicos, sem dilatação. Exame {} sem líquido livre."
+    footer = "Para ver as imagens habilite o JavaScript no navegador."
+    rows = [(f"f{i}", "a", body.format(i) + "\n" + footer) for i in range(40)]
+    rows += [(f"b{i}", "a", body.format(i) + "\n502 Bad Gateway") for i in range(12)]  # reports that break off, fewer than half of the host
+    rows += [(f"e{i}", "b", "Erro 500\nOcorreu um erro inesperado.") for i in range(40)]  # a host of error pages
+    rows += [(f"m{i}", "c", body.format(i) + "\nImpresso por {usuario}") for i in range(40)]  # a placeholder is a case wherever it stands
+    df = spark.createDataFrame(rows, "exm_an string, host string, text string")
+    got = {r[0] for r in residue.found(df, ["exm_an"]).collect()}
+    assert got == {r[0] for r in rows if r[0][0] != "f"}
+    marked = {r["exm_an"]: r["kinds"] for r in residue.mark(df, ["exm_an"]).collect()}
+    assert marked["f0"] == [] and marked["b0"] == ["erro"] and marked["e0"] == ["erro"] and marked["m0"] == ["modelo"] and len(marked) == len(rows)
+
+
+
 # p3
 
 
