@@ -1,12 +1,12 @@
 """Personal information inside free text (problem 5).
 
 Anchor expansion: one Aho-Corasick pass over the folded text (small letters, no accents, look-alikes and invisible
-characters undone, positions kept) finds at-signs, schemes, identifier cues, kinds of street and known name words. Only around
-an anchor do the local parsers run: they expand to the whole e-mail address, telephone, document number, address or name, and
+characters undone, every digit a nought, positions kept) finds at-signs, schemes, identifier cues, the grouping signs of numbers, kinds of street and known
+name words. Only around an anchor do the local parsers run: they expand to the whole e-mail address, telephone, document number, address or name, and
 validate its boundary, its digits and its cue. A text without an anchor costs one pass.
 
-Name words are those of the patients' own names (``name_words``). They are sent to the tasks up to ``most_names`` distinct words, counted
-first; beyond that the words of each text are joined with them by shuffle and only the matches travel with the row. A name is two
+Name words are those of the patients' own names (``name_words``), folded as the texts are. They are sent to the tasks up to ``most_names`` distinct words, counted
+first; beyond that the words of each text are joined with them by shuffle and only the matches travel with the row, with the same outcome. A name is two
 name words in a row, one beside an initial, or one (or capitalised words) after a cue such as "revisado por".
 
 Defined results: null stays null and empty empty, without findings; overlapping findings keep the first of e-mail, document, telephone,
@@ -33,12 +33,15 @@ _ODD = re.compile("[^\\x00-\\x7f²³¹½¼¾±×÷≤≥≠≈–—…“”‘
 #: Cues by what may follow or precede them.
 CUES = {
     "mail": ["@", "arroba", "[at]", "(at)", "{at}", "mailto:"],
-    "phone": ["tel", "fone", "celular", "whatsapp", "zap", "contato", "duvidas", "ligar", "+55", "ramal", "(0xx", "0xx"],
+    "phone": ["tel", "fone", "celular", "whatsapp", "zap", "contato", "duvidas", "ligar", "ramal", "cel"],
+    "call": ["(0", "( 0", "(x", "(*", "+0", "+ 0"],
+    "number": ["000.000.000"],
     "document": ["cpf", "c.p.f", "rg", "r.g", "identidade", "cns", "sus", "cartao nacional", "documento", "passaporte", "cnh", "habilitacao", "titulo de eleitor", "nis", "pis"],
     "street": ["rua ", "avenida ", "av.", "av ", "alameda ", "al. ", "travessa ", "tv. ", "trav. ", "rodovia ", "rod. ", "praca ", "estrada ", "largo ", "viela ", "vila ", "beco ", "quadra ", "qd", "cep", "ladeira ", "servidao "],
+    "short": ["r. ", "r.  "],
     "person": ["paciente", "acompanhante", "revisado por", "responsavel", "aos cuidados de", "a/c", "assinado", "assina", "solicitado por", "sr.", "sra.", "dr.", "dra.", "dados cadastrais", "mae,", "pai,", "mae:", "pai:", "nome:", "relato d", "comunicado a", "liberado por", "laudado por", "medico"],
 }
-REACH = {"mail": (70, 120), "phone": (4, 90), "document": (25, 70), "street": (2, 220), "person": (2, 90), "name": (0, 0)}  #: characters that a parser may need before and after its cue
+REACH = {"mail": (70, 120), "phone": (4, 110), "call": (6, 40), "number": (0, 8), "short": (0, 160), "document": (25, 70), "street": (2, 220), "person": (2, 90), "name": (0, 0)}  #: characters that a parser may need before and after its cue
 _PART = "(?:da|de|do|das|dos|e|di|del|van|von)"
 
 _EMAIL = re.compile(r"[a-z0-9][a-z0-9._%+-]{0,63} ?(?:@|\(arroba\)|\[arroba\]|\barroba\b|\[at\]|\(at\)|\{at\}) ?[a-z0-9-]{1,63}(?: ?(?:\.|\(ponto\)|\[ponto\]|\[dot\]|\(dot\)) ?[a-z0-9-]{1,63})*(?: ?(?:\.|\(ponto\)|\[ponto\]|\[dot\]|\(dot\)) ?[a-z]{2,24})(?![a-z0-9-])")
@@ -66,29 +69,34 @@ _WORD = re.compile(r"[a-z]+")
 _GAP = re.compile(r"^(?:[ \n]{1,3}|, ?|[ \n]" + _PART + r"[ \n])$")
 
 
-def fold(text: str) -> tuple[str, list[int] | None]:
-    """The folded text and the place in the text of each of its characters (None: the same places)."""
+_DIGITS = str.maketrans("123456789", "000000000")
+
+
+def fold(text: str) -> tuple[str, str, list[int] | None]:
+    """The folded text, the same with its capitals, and the place in the text of each of its characters (None: the same places)."""
     low = text.lower()
     if len(low) == len(text):
         low = low.replace("\\n", "  ").replace("\\r", "  ").replace("\n", " ").replace("\r", " ").replace("\t", " ")
         if low.isascii():
-            return low, None
+            return low, text, None
         for a, b in zip(*_ACCENTS, strict=True):
             if a in low:
                 low = low.replace(a, b)
         if not _ODD.search(low):
-            return low, None
+            return low, text, None
     out: list[str] = []
     at: list[int] = []
     for i, c in enumerate(text):
         if unicodedata.category(c) in ("Mn", "Cf"):
             continue
         c = TWINS.get(c, c)
-        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower().replace("º", "o").replace("°", "o").replace("ª", "a")
-        plain = " " if plain.isspace() else "".join(TWINS.get(x, x) for x in plain).lower()
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).replace("º", "o").replace("°", "o").replace("ª", "a")
+        plain = " " if plain.isspace() else "".join(TWINS.get(x, x) for x in plain)
         out.append(plain)
         at += [i] * len(plain)
-    return "".join(out).replace("\\n", "  ").replace("\\r", "  "), at
+    cased = "".join(out).replace("\\n", "  ").replace("\\r", "  ")
+    low = "".join(x.lower() if len(x.lower()) == 1 else x for x in cased)  # a character for a character
+    return low, cased, at
 
 
 class Finder:
@@ -108,9 +116,9 @@ class Finder:
         self.auto.make_automaton()
 
     def anchors(self, low: str) -> dict[str, list[tuple[int, int]]]:
-        """Where the parsers have to look: stretches around whole cues, by kind, overlapping ones made one."""
+        """Where the parsers have to look: stretches around whole cues, by kind, overlapping ones made one. A digit of a cue stands for any."""
         out: dict[str, list[tuple[int, int]]] = {}
-        for last, (kind, n, alpha_first, alpha_last) in self.auto.iter(low):
+        for last, (kind, n, alpha_first, alpha_last) in self.auto.iter(low.translate(_DIGITS)):
             start = last - n + 1
             if alpha_first and start and low[start - 1].isalpha() or alpha_last and low[last + 1 : last + 2].isalpha() and kind not in ("phone", "person"):
                 continue
@@ -125,7 +133,7 @@ class Finder:
 
     def spans(self, text: str, more: set[str] | None = None) -> list[tuple[int, int, str]]:
         """(start, end, kind) of all findings, without overlaps, in order."""
-        low, at = fold(text)
+        low, cased, at = fold(text)
         kinds = self.anchors(low)
         names = self.names if not more else self.names | more
         if more:
@@ -147,11 +155,12 @@ class Finder:
         for m in near("document", _DOCUMENT):
             if 6 <= sum(c.isdigit() for c in m.group(1)) <= 16:
                 add(m.start(1), m.end(1), "DOCUMENTO")
-        for m in _CPF.finditer(low):
+        for m in near("number", _CPF):
             add(m.start(), m.end(), "DOCUMENTO")
-        for m in _PHONE.finditer(low):
-            if m.group()[0] in "(+" or "phone" in kinds and _PHONE_CUE.search(low, max(0, m.start() - 70), m.start()):
-                add(m.start(), m.end(), "TELEFONE")
+        for kind in ("call", "phone"):
+            for m in near(kind, _PHONE):
+                if m.group()[0] == "+" or "(" in m.group() or kind == "phone" and _PHONE_CUE.search(low, max(0, m.start() - 70), m.start()):
+                    add(m.start(), m.end(), "TELEFONE")
         for m in near("phone", _LOCAL):
             if re.search(r"(?:\btel\.?|fone|celular|telefone|whatsapp):? ?$", low[max(0, m.start() - 14) : m.start()]):
                 add(m.start(), m.end(), "TELEFONE")
@@ -159,15 +168,15 @@ class Finder:
             add(m.start(), m.end(), "ENDERECO")
         for m in near("street", _CEP):
             add(m.start(), m.end(), "ENDERECO")
-        for m in _SHORT_STREET.finditer(low) if " r. " in low else ():
+        for m in near("short", _SHORT_STREET):
             if m.group(1) not in names:
                 add(m.start(), m.end(), "ENDERECO")
         if "name" in kinds or "person" in kinds:
-            self._people(text, low, at, names, kinds, add)
+            self._people(cased, low, names, kinds, add)
         found.sort()
         return found if at is None else [(at[s], at[e - 1] + 1, k) for s, e, k in found]
 
-    def _people(self, text, low, at, names, kinds, add) -> None:
+    def _people(self, cased, low, names, kinds, add) -> None:
         if "name" in kinds:
             words = [(m.start(), m.end(), m.group() in names, m.end() - m.start() == 1) for m in _WORD.finditer(low)]
             i = 0
@@ -194,8 +203,8 @@ class Finder:
                 if n > 1 or initials or _PERSON.search(before) or _TITLE.search(before):
                     add(start, end, "NOME")
                 i = j
-        if "person" in kinds and at is None:
-            for m in (x for lo, hi in kinds["person"] for x in _CAPITAL.finditer(text, lo, hi)):
+        if "person" in kinds:
+            for m in (x for lo, hi in kinds["person"] for x in _CAPITAL.finditer(cased, lo, hi)):
                 if _STRONG_PERSON.search(low[max(0, m.start() - 40) : m.start()]):
                     add(m.start(), m.end(), "NOME")
 
@@ -221,10 +230,21 @@ def _scan(batches: Iterator[pa.RecordBatch], names: set[str], markers: dict[str,
         yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(kinds, pa.list_(pa.string())), pa.array(clean, pa.string())], [*b.schema.names[:-2], "kinds", "clean"])
 
 
+def _words(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, word): the distinct folded words of each text."""
+    for b in batches:
+        ids, words = [], []
+        for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            own = {w for w in _WORD.findall(fold(text)[0]) if len(w) >= least} if text else set()
+            ids += [i] * len(own)
+            words += own
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(words, pa.string())], ["_id", "word"])
+
+
 def name_words(names: DataFrame, name_col: str, least: int = 3) -> DataFrame:
     """Distinct folded words of a column of names: ``word``; words of fewer than ``least`` letters and particles are left out."""
-    low = F.translate(F.lower(F.col(name_col)), *_ACCENTS)
-    words = names.select(F.explode(F.split(low, "[^a-z]+")).alias("word")).filter(F.length("word") >= least)
+    own = names.select(F.lit(None).cast("string").alias("_id"), F.col(name_col).cast("string").alias("text")).filter("text is not null").distinct()
+    words = own.mapInArrow(lambda b: _words(b, least), "_id string, word string").select("word")
     return words.filter(~F.col("word").isin("das", "dos", "del", "van", "von", "filho", "neto", "junior", "sra", "dra")).distinct()
 
 
@@ -235,9 +255,9 @@ def scan(texts: DataFrame, keys: list[str], words: DataFrame, markers: dict[str,
     if len(few) <= most_names:
         names, given = set(few), own.withColumn("_more", F.lit(None).cast("array<string>"))
     else:
-        low = F.translate(F.lower(F.col("_text")), *_ACCENTS)
-        own = own.withColumn("_id", F.md5(F.coalesce("_text", F.lit(""))))
-        held = own.select("_id", F.explode(F.array_distinct(F.split(low, "[^a-z]+"))).alias("word")).distinct().join(words, "word")
+        own = own.withColumn("_id", F.md5("_text"))
+        texts_once = spread(own.filter("_text <> ''").select("_id", "_text").distinct())
+        held = texts_once.mapInArrow(lambda b: _words(b, 1), "_id string, word string").join(words, "word")
         names, given = set(), own.join(held.groupBy("_id").agg(F.collect_set("word").alias("_more")), "_id", "left").drop("_id")
     fields = {f.name: f.dataType.simpleString() for f in texts.schema.fields}
     schema = ", ".join([*(f"`{k}` {fields[k]}" for k in keys), "kinds array<string>, clean string"])

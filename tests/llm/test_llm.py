@@ -298,6 +298,27 @@ def test_personal_information(spark):
     assert many == {(k, t) for k, v in texts.items() for t in v[1]}  # the way of many names
 
 
+def test_names_are_found_alike_with_few_and_many_words(spark):
+    names = spark.createDataFrame([("Maria Souza",), ("João Alves",), (None,), ("",)], "nome string")
+    texts = ["Exame.\\nMaria Souza sem queixas.", "Paciente Mаria Sоuza em uso de soro.", "Mari\u200ba Souza retornou.", "JOÃO ALVES, lesão de 3 μm.", "Nada a declarar.", None, ""]
+    df = spark.createDataFrame([(f"{i}", t) for i, t in enumerate(texts)], "exm_an string, text string")
+    for most in (200_000, 1):
+        got = {r["exm_an"]: r["kinds"] for r in pii.scan(df, ["exm_an"], pii.name_words(names, "nome"), None, most_names=most).collect()}
+        assert got == {"0": ["NOME"], "1": ["NOME"], "2": ["NOME"], "3": ["NOME"], "4": [], "5": [], "6": []}
+
+
+@pytest.mark.parametrize("more", ["", " Lesão de 3 μm.", " Sem\u200b queixas."])
+def test_a_name_after_a_cue_needs_no_plain_text(more):
+    text = "Lesão estável." + more + " Revisado por Dr. Zoroastro Quintela em tempo."
+    assert [(text[s:e], k) for s, e, k in pii.Finder(set()).spans(text)] == [("Zoroastro Quintela", "NOME")]
+
+
+def test_numbers_are_found_from_their_signs():
+    text = "Ficha 123.456.789-09 e 55 (30) 3916 4028, +55 11 93456-7890; mora na R. das Flores, 120. Série 1234 5678, lote 99.123.456-7."
+    assert [(text[s:e], k) for s, e, k in pii.Finder(set()).spans(text)] == [("123.456.789-09", "DOCUMENTO"), ("55 (30) 3916 4028", "TELEFONE"), ("+55 11 93456-7890", "TELEFONE"), ("R. das Flores, 120", "ENDERECO")]
+
+
+
 # p6
 
 
