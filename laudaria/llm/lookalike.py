@@ -106,7 +106,7 @@ class Lattice:
 def model(texts: DataFrame, text_col: str = "text") -> dict[str, float]:
     """Logarithms of trigram probabilities of Latin letters, counted over the distinct tokens of all texts."""
     low = F.lower(F.col(text_col))
-    tokens = texts.select(F.explode(F.split(low, f"[^{ALPHABET}]+")).alias("t")).filter("length(t) between 1 and 60").groupBy("t").agg(F.count("*").alias("n"))
+    tokens = texts.select(F.explode(F.split(low, f"[^{ALPHABET}]+")).alias("t")).filter("length(t) > 0").groupBy("t").agg(F.count("*").alias("n"))
     marked = tokens.select(F.concat(F.lit("^^"), "t", F.lit("^")).alias("t"), F.log1p("n").alias("n"))
     grams = marked.select(F.explode(F.expr("transform(sequence(1, length(t) - 2), i -> substring(t, i, 3))")).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
     rows = grams.collect()  # at most len(ALPHABET) ** 3

@@ -340,6 +340,25 @@ def test_lost_letters_and_doubled_chains(spark):
     assert encoding.affected(df.limit(0), ["exm_an"]).count() == 0
 
 
+def test_rows_without_a_key_are_restored(spark):
+    words = "lesão região atenuação difusão extensão técnica".split()
+    rows = [(f"k{i}", f"Exame com {words[i % 6]} e {words[(i + 1) % 6]} sem alteração ({i}).") for i in range(30)]
+    bad = "Exame com lesÃ£o e regiÃ£o sem alteraÃ§Ã£o (x)."
+    rows += [(None, bad), ("same", bad.replace("x", "y")), ("same", "Exame normal."), ("blank", "Medindo ?? mm à direita."), ("blank2", "Desvio à esquerda."), (None, None), ("e", "")]
+    df = spark.createDataFrame(rows, "exm_an string, text string")
+    out = [(r["exm_an"], r["text"], r["restored"]) for r in encoding.restore(df, ["exm_an"]).collect()]
+    assert len(out) == len(rows)
+    fixed = {(k, t): x for k, t, x in out}
+    assert fixed[None, bad] == "Exame com lesão e região sem alteração (x)." and fixed["same", "Exame normal."] == "Exame normal." and fixed[None, None] is None and fixed["e", ""] == ""
+    assert {r["exm_an"] for r in encoding.affected(df, ["exm_an"]).collect()} == {None, "same"}
+
+
+def test_words_of_many_accents_have_all_their_forms():
+    word = "áéíóúâêô"
+    assert "Ã¡Ã©íóúâêô" in encoding.garbled(word) and "áéíÃ³úâÃªô" in encoding.garbled(word)
+    assert len(encoding.garbled("á" * 12)) > 0
+
+
 # p7
 
 
