@@ -5,14 +5,17 @@ Three kinds of noise are found and repaired: words divided at a line end (``hife
 
 *Words.* All distinct words are counted once, over distinct texts. Those seen in few texts beside their neighbours are suspects; they meet the
 frequent words through an inverted join on padded character q-grams, and a gradient-boosted model ranks the candidates by how well the
-usual confusions of scanning explain the difference, how much more frequent the candidate is, and how many q-grams they share.
+usual confusions of scanning explain the difference, how much more frequent the candidate is, how many q-grams they share, and how many q-grams of the
+word stand in no other word of the corpus. A difference that the usual confusions don't explain is accepted for one letter within the word, if the ranker takes it and at least
+``STRANGE`` q-grams of the word stand in no other: so "calihre" is misread, and "direita" beside "direito" is a word. Words under ``least_length`` letters are left alone: "T1" or "L5" are as they should be.
 Frequencies enter as ratios, so the outcome is alike at every size. The model is fitted on clean words of the corpus
-misread by the confusion table (positives) and on rare clean words against their look-alikes (negatives).
+misread by the confusion table or by any letter (positives) and on rare clean words against their look-alikes (negatives).
 
 *Lines.* A second boosted model sees pairs of neighbouring lines: whether the first ends in a mark of division and
 the halves join to a known word (a join), or whether the second is furniture: short, of digits and page words,
-in the way of a sentence that goes on behind it, or the line that follows such a line again and again. It is
-fitted on pairs made from clean lines by dividing words and inserting furniture.
+in the way of a sentence that goes on behind it, repeated in the text apart from its digits, or the line that follows such a line. It is
+fitted on pairs made from clean lines by dividing words and inserting furniture: page lines, headers, both, or headers alone. A text without a page line, a form feed, a line that begins with a page word and
+a number, or a repeated line can hold nothing that tells furniture from a title, and isn't put to the model.
 
 Both models are fitted on a bounded sample (``training_rows``); counts, candidates and decisions cover all data.
 The table of corrections (distinct misread words) is broadcast up to ``broadcast_rows`` rows, counted first, else joined by shuffle.
@@ -48,12 +51,21 @@ _WORD = f"[{LETTERS}0-9@!|$ﬁﬂ]+"
 _TOKEN = re.compile(_WORD)
 _LINES = re.compile(r"\r\n|\\r\\n|\\n|\n|\x0c(?=.)|<br ?/?>")
 Q = 3
+STRANGE = 2  #: q-grams of a word that stand in no other, for it to be misread in a way that CONFUSIONS doesn't have
 _PLAIN = str.maketrans("áàâãéêíóôõúç", "aaaaeeiooouc")
 
 _PAGE = re.compile(r"(?i)(?<![a-z])(?:p\s*[aáà@]\s*g\s*(?:i\s*n\s*a)?s?|fl|fls|folhas?|page|sheet)(?![a-z])")
 _PAGE_LINE = re.compile(r"(?i)^[\W_]*(?:(?:p\s*[aáà@4]\s*[g9]\s*(?:[i1!l]\s*n\s*[a@4])?|fls?|folha|page)[\W_]*)?\d{1,4}(?:\s*(?:/|de|of|-|\|)\s*\d{1,4})?[\s\-–—\]|_>]*$")
 
 
+_PAGE_HEAD = re.compile(r"(?i)^[\W_]*(?:p\s*[aáà@4]?\s*g\s*(?:i\s*n\s*a)?|fls?|folha|page)[\W_]*\d{1,4}(?!\d)")
+
+
+def _masked(line: str) -> str:
+    """A line apart from its digits and the spaces around it."""
+    return re.sub(r"\d+", "#", line.strip(" \t\x0c\r"))
+
+
 def boost(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, rate: float = 0.3) -> list:
     """Gradient-boosted trees for two classes over a small matrix: a list of trees."""
     score, trees = np.zeros(len(y)), []
@@ -146,10 +158,21 @@ def _grams(word: str) -> set[str]:
     return {padded[i : i + Q] for i in range(len(padded) - Q + 1)}
 
 
-def _features(read: str, meant: str, n_read: float, n_meant: float) -> list[float]:
+def strange(word: str, n: float, weights: dict[str, float], total: float) -> int:
+    """How many q-grams of the word stand in hardly any other text than those of the word itself; ``weights`` has the texts of the clean words by q-gram."""
+    return sum(weights.get(g, 0.0) - n <= 0.0005 * total for g in _grams(word))
+
+
+def _inside(read: str, meant: str) -> bool:
+    """Whether the words differ in one letter, neither the first nor one of the last two: endings are grammar."""
+    apart = [i for i, (a, b) in enumerate(zip(read, meant, strict=False)) if a != b]
+    return len(read) == len(meant) >= 5 and len(apart) == 1 and 0 < apart[0] < len(read) - 2
+
+
+def _features(read: str, meant: str, n_read: float, n_meant: float, odd: int) -> list[float]:
     used, left = explained(read, meant)
     a, b = _grams(read), _grams(meant)
-    return [used, left, np.log((n_meant + 1) / (n_read + 1)), len(a & b) / len(a | b), len(meant), abs(len(read) - len(meant)), float(any(not c.isalpha() for c in read)), float(read[:1] == meant[:1])]
+    return [odd, used, left, np.log((n_meant + 1) / (n_read + 1)), len(a & b) / len(a | b), len(meant), abs(len(read) - len(meant)), float(any(not c.isalpha() for c in read)), float(read[:1] == meant[:1])]
 
 
 _DIVIDED = re.compile(f"[{LETTERS}0-9]+[{HYPHENS}](?:\\r?\\n|\\\\n|<br>)[{LETTERS}0-9]+")
@@ -158,7 +181,7 @@ _COMPOUND = re.compile(f"[{LETTERS}]+-[{LETTERS}]+")
 
 def words_in(text: str) -> set[str]:
     """Lower-case words of at least two signs, a letter among them."""
-    return {w for w in _TOKEN.findall(text.lower()) if 2 <= len(w) <= 40 and not w.isdigit()}
+    return {w for w in _TOKEN.findall(text.lower()) if len(w) >= 2 and not w.isdigit()}
 
 
 def _count(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
@@ -175,7 +198,7 @@ def _count(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[p
             if text:
                 whole = _DIVIDED.sub(" ", text)
                 held.update(words_in(whole))
-                held.update({c.lower() for c in _COMPOUND.findall(whole) if len(c) <= 40})
+                held.update({c.lower() for c in _COMPOUND.findall(whole)})
         if len(held) > most:
             yield out()
     yield out()
@@ -195,29 +218,35 @@ def corrections(counts: DataFrame, ratio: float = 12.0, least_length: int = 4, t
     clean = counts.filter(F.col("word").rlike("^[a-záàâãéêíóôõúüç]+$"))
     total = counts.agg(F.max("texts")).first()[0] or 0
     sample = [(r[0], r[1]) for r in clean.filter((F.col("texts") >= max(3, total * 0.002)) & (F.length("word") >= least_length)).orderBy(F.xxhash64("word")).limit(training_rows // 4).collect()]
-    model = fit_words(sample)
+    padded = F.concat(F.lit("^"), "word", F.lit("$"))
+    own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - Q + 1), lambda i: F.substring(padded, i, Q)))
+    weights = {r[0]: float(r[1]) for r in clean.select(F.explode(own).alias("g"), "texts").groupBy("g").agg(F.sum("texts")).collect()}  # at most 41 ** Q
+    model = fit_words(sample, weights, total)
 
     gram = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(F.concat(F.lit("^"), c, F.lit("$")), i, Q)))
-    # a q-gram that very many frequent words share tells nothing and is left to the rarer ones of the same word
     frequent = clean.filter(F.length("word") >= least_length).select(F.col("word").alias("meant"), F.col("texts").alias("n_meant"), F.explode(gram(F.col("word"))).alias("gram"))
     suspects = counts.filter(F.length("word") >= least_length).select("word", F.col("texts").alias("n"), F.explode(gram(F.col("word"))).alias("gram"))
     met = suspects.join(frequent, "gram").filter((F.col("n_meant") >= ratio * F.col("n")) & (F.abs(F.length("word") - F.length("meant")) <= 2))
     pairs = met.groupBy("word", "meant").agg(F.first("n").alias("n"), F.first("n_meant").alias("n_meant"), F.count("*").alias("shared"))
     pairs = pairs.filter(F.levenshtein("word", "meant", 4) >= 0)
 
+    clean_word = re.compile("^[a-záàâãéêíóôõúüç]+$")
+
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = np.array([_features(*t) for t in zip(b["word"], b["meant"], b["n"], b["n_meant"], strict=True)], float).reshape(len(b), 8)
+            odd = {w: strange(w, n if clean_word.match(w) else 0, weights, total) for w, n in zip(b["word"], b["n"], strict=True)}
+            x = np.array([_features(*t, odd[t[0]]) for t in zip(b["word"], b["meant"], b["n"], b["n_meant"], strict=True)], float).reshape(len(b), 9)
             p = predict(model, x)
+            inside = np.array([_inside(w, m) and odd[w] >= STRANGE for w, m in zip(b["word"], b["meant"], strict=True)], bool)
             plain = [str.translate(w, _PLAIN) == str.translate(m, _PLAIN) for w, m in zip(b["word"], b["meant"], strict=True)]  # only without its accents
-            keep = (p >= accept) & (x[:, 1] == 0) & ~np.array(plain, bool)
+            keep = (p >= accept) & ((x[:, 2] == 0) | inside) & ~np.array(plain, bool)
             yield pd.DataFrame({"word": b["word"][keep], "meant": b["meant"][keep], "p": p[keep], "n_meant": b["n_meant"][keep]})
 
     ranked = pairs.mapInPandas(rank, "word string, meant string, p double, n_meant long")
     return ranked.groupBy("word").agg(F.max_by("meant", F.struct("p", "n_meant", "meant")).alias("meant")), model
 
 
-def fit_words(sample: list[tuple[str, int]], seed: int = 11) -> list:
+def fit_words(sample: list[tuple[str, int]], weights: dict[str, float], total: float, seed: int = 11) -> list:
     """Model over pairs of words: misread clean words are positive; other look-alikes of them, and pairs of clean words, negative."""
     rng = np.random.default_rng(seed)
     known = {w for w, _ in sample}
@@ -227,25 +256,29 @@ def fit_words(sample: list[tuple[str, int]], seed: int = 11) -> list:
             by_gram.setdefault(g, []).append((w, n))
     x, y = [], []
     for w, n in sample:
-        for _ in range(3):
+        for k in range(4):
             bad = misread(w, rng)
-            if bad == w or bad in known:
+            if k == 3 and len(w) >= 6:  # a letter that the table doesn't have
+                at = int(rng.integers(1, len(w) - 2))
+                bad = w[:at] + "abcdefghijlmnopqrstuvxz"[int(rng.integers(23))] + w[at + 1 :]
+            odd = strange(bad, 0, weights, total)
+            if bad == w or bad in known or k == 3 and odd < STRANGE:
                 continue
             seen = max(1.0, n / float(rng.integers(15, 3000)))
-            x.append(_features(bad, w, seen, n))
+            x.append(_features(bad, w, seen, n, odd))
             y.append(1)
             near = [c for g in list(_grams(bad))[:4] for c in by_gram.get(g, [])[:4] if c[0] != w]
             for c, m in near[:3]:
-                x.append(_features(bad, c, seen, m))
+                x.append(_features(bad, c, seen, m, odd))
                 y.append(0)
         near = [c for g in list(_grams(w))[:4] for c in by_gram.get(g, [])[:6] if c[0] != w and abs(len(c[0]) - len(w)) <= 2]
         for c, m in near[:4]:
-            x.append(_features(w, c, max(1.0, m / float(rng.integers(15, 3000))), m))
+            x.append(_features(w, c, max(1.0, m / float(rng.integers(15, 3000))), m, strange(w, n, weights, total)))
             y.append(0)
-    return boost(np.array(x, float).reshape(len(x), 8), np.array(y, float)) if x else []
+    return boost(np.array(x, float).reshape(len(x), 9), np.array(y, float)) if x else []
 
 
-def line_features(lines: list[str], i: int, width: float, heads: set[str]) -> list[float]:
+def line_features(lines: list[str], i: int, width: float, heads: set[str], times: Counter) -> list[float]:
     """Whether line i is furniture: seen with the lines before and after it."""
     line = lines[i].strip(" \t\x0c\r")
     before = next((x.strip() for x in reversed(lines[:i]) if x.strip()), "")
@@ -254,6 +287,7 @@ def line_features(lines: list[str], i: int, width: float, heads: set[str]) -> li
     return [
         float(bool(_PAGE_LINE.match(line))), float(bool(_PAGE.search(line))), digits / max(1, len(line)), len(line) / max(1.0, width), float(i == 0), float(not after),
         float(bool(before) and before[-1] not in ".:;!?"), float(after[:1].islower() or after[:1].isdigit()), float(bool(_PAGE_LINE.match(before))), float("\x0c" in lines[i]), float(line.endswith(".") or line.endswith(":")), float(re.sub(r"\d+", "#", line) in heads), float(bool(re.search(r"\s{2,}|[|]|\.\.", line))), float(line[:1].islower()),
+        float(min(times[_masked(line)], 4)), float(bool(_PAGE_HEAD.match(line))), float(bool(before) and before[-1:].isalpha() and before[-1:].islower()),
     ]
 
 
@@ -271,35 +305,48 @@ def fit_lines(clean: list[str], seed: int = 12) -> list:
     """Model over lines: furniture put into clean reports is positive, their own lines negative."""
     rng = np.random.default_rng(seed)
     x, y = [], []
-    forms = ["- {n} -", "{n}", "[pág {n}]", "fl. {n}", "Folha {n} de {m}", "Página {n} de {m}", "Pág. {n}/{m}", "P á g i n a  {n}", "pag {n}", "{n}/{m}", "Page {n} of {m}", "fls. {n}", "PÁGINA {n}"]
+    forms = ["- {n} -", "{n}", "[pág {n}]", "fl. {n}", "Folha {n} de {m}", "Página {n} de {m}", "Pág. {n}/{m}", "P á g i n a  {n}", "pag {n}", "{n}/{m}", "Page {n} of {m}", "fls. {n}", "PÁGINA {n}", "Página {n} de {m} - {t}", "pg. {n}", "Pág. {n} | {t}", "{t} - pág. {n}"]
     heads = ["LAUDO DE EXAME | {t}", "Serviço de Imagem - {t}", "{t}  ..  via digitalizada", "Hospital {t}", "{t}"]
-    for text in clean:
+    for text in clean * max(1, 400 // max(1, len(clean))):
         lines = [x for x in _LINES.split(text) if x.strip()]
         if len(lines) < 4:
             continue
         width = float(np.median([len(v) for v in lines]))
         for i in range(len(lines)):
             if rng.random() < 0.3 or i in (0, len(lines) - 1):
-                x.append(line_features(lines, i, width, _heads(lines)))
+                x.append(line_features(lines, i, width, _heads(lines), Counter(map(_masked, lines))))
                 y.append(0)
         form, head = forms[int(rng.integers(len(forms)))], heads[int(rng.integers(len(heads)))] if rng.random() < 0.6 else None
-        made, marks, step, m = [], [], int(rng.integers(3, 12)), 1 + len(lines) // 4
-        title = lines[0].lower()[:40]
+        alone = head is not None and rng.random() < 0.3  # headers without page numbers
+        made, marks, step, m = [], [], int(rng.integers(2, min(12, max(4, len(lines)))) if not alone else rng.integers(1, max(3, len(lines) // 2))), 1 + len(lines) // 4
+        tails: set[int] = set()
+        title = " ".join(lines[int(rng.integers(len(lines)))].split()[:4]).strip(".,:;")[:40]
+        title = (title.title(), title.upper(), title.lower())[int(rng.integers(3))]
         for i, v in enumerate(lines):
-            made.append(v)
-            marks.append(0)
+            words = v.split(" ")
+            if len(words) > 4 and not _PAGE_LINE.match(words[-1]) and rng.random() < 0.1:  # the end of a sentence on a line of its own
+                made += [" ".join(words[:-1]), words[-1]]
+                marks += [0, 0]
+                tails.add(len(made) - 1)
+            else:
+                made.append(v)
+                marks.append(0)
+            if rng.random() < 0.05 and not alone:  # a report's own line that comes again
+                made.append(lines[int(rng.integers(i + 1))])
+                marks.append(0)
             if (i + 1) % step == 0 or i == len(lines) - 1 and rng.random() < 0.7:
-                made.append(form.format(n=1 + sum(marks), m=m))
-                marks.append(1)
+                if not alone:
+                    made.append(form.format(n=1 + sum(marks), m=m, t=title))
+                    marks.append(1)
                 if head and i < len(lines) - 1:
                     made.append(("\x0c" if rng.random() < 0.5 else "") + head.format(t=title))
                     marks.append(1)
-        hs = _heads(made)
+        hs, times = _heads(made), Counter(map(_masked, made))
         for i, mark in enumerate(marks):
-            if mark or rng.random() < 0.1:
-                x.append(line_features(made, i, width, hs))
+            if mark or i in tails and rng.random() < 0.5 or times[_masked(made[i])] > 1 or rng.random() < 0.1:
+                x.append(line_features(made, i, width, hs, times))
                 y.append(mark)
-    return boost(np.array(x, float).reshape(len(x), 14), np.array(y, float)) if x else []
+    return boost(np.array(x, float).reshape(len(x), 17), np.array(y, float)) if x else []
 
 
 def halves_features(a: str, b: str, sign: str, joined: float, compound: float, n_a: float, n_b: float, total: float) -> list[float]:
@@ -336,11 +383,13 @@ class Reader:
     def furniture(self, lines: list[str]) -> list[bool]:
         if len(lines) < 3:
             return [False] * len(lines)
-        if not any(_PAGE_LINE.match(x.strip(" \t\x0c\r")) and x.strip() for x in lines) and not any("\x0c" in x for x in lines):
+        times = Counter(map(_masked, lines))
+        again = any(n > 1 and len(x) >= 8 and x[-1:] not in ".:;," for x, n in times.items())
+        if not again and not any("\x0c" in x or x.strip() and (_PAGE_LINE.match(x.strip(" \t\x0c\r")) or _PAGE_HEAD.match(x)) for x in lines):
             return [False] * len(lines)
         width = float(np.median([len(v) for v in lines if v.strip()] or [1]))
         heads = _heads(lines)
-        x = np.array([line_features(lines, i, width, heads) for i in range(len(lines))], float)
+        x = np.array([line_features(lines, i, width, heads, times) for i in range(len(lines))], float)
         p = predict(self.lines_model, x)
         return [bool(a >= 0.5 and v.strip()) for a, v in zip(p, lines, strict=True)]
 
@@ -462,10 +511,12 @@ class Noise:
 
     def repair(self, texts: DataFrame, keys: list[str]) -> DataFrame:
         """``keys, text, repaired``: every row with its text as continuous readable paragraphs."""
-        own = texts.select(*keys, F.col(self.text_col).alias("text")).withColumn("_id", F.md5(F.coalesce("text", F.lit(""))))
+        own = texts.select(*keys, F.col(self.text_col).cast("string").alias("text"))
+        each = own.filter("text <> ''").withColumn("_id", F.md5("text"))
+        once = each.select("_id", "text").distinct()  # copies are looked at once
         low = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(f"({_WORD})"), 1))
-        bad = own.select("_id", F.explode(low).alias("word")).join(self.meant, "word").groupBy("_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "meant"))).alias("_meant"))
-        split = self.seen(own.withColumnRenamed("text", self.text_col), ["_id"]).select("_id", F.explode("halves").alias("half"))
+        bad = once.select("_id", F.explode(low).alias("word")).join(self.meant, "word").groupBy("_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "meant"))).alias("_meant"))
+        split = self.seen(once.withColumnRenamed("text", self.text_col), ["_id"]).select("_id", F.explode("halves").alias("half"))
         parts = split.join(self._sized(cut(self.divided(split.select("half")))), "half").groupBy("_id").agg(F.collect_set("half").alias("_divided"))
         model = self.line_model
 
@@ -475,5 +526,7 @@ class Noise:
             ready = lambda m: dict(m) if m is not None else {}
             return pd.Series([None if t is None else reader.repair(t, ready(m), set(d) if d is not None else set()) for t, m, d in zip(text, meant, divided, strict=True)])
 
-        joined = own.join(bad, "_id", "left").join(parts, "_id", "left")
-        return joined.select(*keys, "text", put_right("text", "_meant", "_divided").alias("repaired"))
+        fixes = bad.join(parts, "_id", "full")
+        joined = each.join(fixes, "_id", "left")
+        done = joined.select(*keys, "text", put_right("text", "_meant", "_divided").alias("repaired"))
+        return done.unionByName(own.filter("text is null or text = ''").withColumn("repaired", F.col("text")))

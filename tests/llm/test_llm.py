@@ -49,6 +49,17 @@ def test_scan_noise_found_and_repaired(spark, scanned):
     assert "- 1 -" not in fixed["p"] and fixed["null"] is None and fixed["empty"] == "" and fixed["ok5"] == clean[8]
 
 
+def test_headers_without_page_numbers_and_misreadings_beyond_the_table(spark, scanned):
+    clean, _ = scanned
+    lines = (clean[0] + "\n" + clean[1] + "\n" + clean[2]).split("\n")
+    header = lines[:2] + ["Hospital Campo Belo - Setor de Imagem"] + lines[2:5] + ["Hospital Campo Belo - Setor de Imagem"] + lines[5:]
+    rows = [(f"ok{i}", t) for i, t in enumerate(clean[3:])] + [("head", "\n".join(header)), ("pg", clean[4].replace("\nsem extensão", "\nPágina 2 de 5 - Hospital Campo Belo\nsem extensão"))]
+    rows += [("h", clean[5].replace("calibre", "calihre")), ("m", clean[6].replace("segmento", "segmemto")), ("ending", clean[7].replace("heterogêneo", "heterogênea")), ("short", clean[8].replace("UH", "U1"))]
+    df = spark.createDataFrame(rows, "exm_an string, text string")
+    found = {(r["exm_an"], r["tipo"]) for r in scans.Noise(df).found(df, ["exm_an"]).collect()}
+    assert found == {("head", "pagina"), ("pg", "pagina"), ("h", "caractere"), ("m", "caractere")}
+
+
 def test_copies_of_a_scanned_text_hide_no_misread_word(spark, scanned):
     clean, bad = scanned
     rows = [(f"ok{i}", t) for i, t in enumerate(clean[3:])] + [(f"c{i}", bad["c"]) for i in range(60)]
