@@ -66,6 +66,11 @@ def _masked(line: str) -> str:
     return re.sub(r"\d+", "#", line.strip(" \t\x0c\r"))
 
 
+def _again(times: Counter) -> bool:
+    """Whether a line that could be a header comes more than once."""
+    return any(n > 1 and len(x) >= 8 and x[-1:] not in ".:;," for x, n in times.items())
+
+
 def boost(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, rate: float = 0.3) -> list:
     """Gradient-boosted trees for two classes over a small matrix: a list of trees."""
     score, trees = np.zeros(len(y)), []
@@ -309,7 +314,7 @@ def fit_lines(clean: list[str], seed: int = 12) -> list:
     heads = ["LAUDO DE EXAME | {t}", "Serviço de Imagem - {t}", "{t}  ..  via digitalizada", "Hospital {t}", "{t}"]
     for text in clean * max(1, 400 // max(1, len(clean))):
         lines = [x for x in _LINES.split(text) if x.strip()]
-        if len(lines) < 4:
+        if len(lines) < 4 or _again(Counter(map(_masked, lines))):  # may hold headers itself
             continue
         width = float(np.median([len(v) for v in lines]))
         for i in range(len(lines)):
@@ -384,8 +389,7 @@ class Reader:
         if len(lines) < 3:
             return [False] * len(lines)
         times = Counter(map(_masked, lines))
-        again = any(n > 1 and len(x) >= 8 and x[-1:] not in ".:;," for x, n in times.items())
-        if not again and not any("\x0c" in x or x.strip() and (_PAGE_LINE.match(x.strip(" \t\x0c\r")) or _PAGE_HEAD.match(x)) for x in lines):
+        if not _again(times) and not any("\x0c" in x or x.strip() and (_PAGE_LINE.match(x.strip(" \t\x0c\r")) or _PAGE_HEAD.match(x)) for x in lines):
             return [False] * len(lines)
         width = float(np.median([len(v) for v in lines if v.strip()] or [1]))
         heads = _heads(lines)
