@@ -124,10 +124,34 @@ def split_accents(c: Column) -> Column:
     return c
 
 
+#: Names of fonts, and what viewers write into reports.
+FONTS = ["times", "times new roman", "arial", "calibri", "cambria", "courier", "courier new", "helvetica", "symbol", "wingdings", "opensymbol", "ms mincho", "simsun", "century", "cambria math"]
+NOTICES = [
+    "(?i)\\blaudo\\s+(?:gerado|liberado)\\s+por\\s+(?:um?\\s*)?sistema\\s+especialista\\b\\.?",
+    "(?i)\\bpara\\s+visualiza\\w*\\s+(?:o\\s+conte[uú]do\\s+do\\s+)?laudo\\b.?\\b(?:acesse|acessar)\\b.?\\b(?:viewer|op[cç][aã]o\\s+imagem|imagem\\s+dispon[ií]vel)\\b\\.?",
+    "(?i)\\blaudo\\s+pode\\s+n(?:ão|ao|aõ)\\s+estar\\s+completo\\s+na\\s+visualiza\\p{L}+\\s+em\\s+(?:rtf|imagem)\\b\\.?",
+]
+
+
 def without_boilerplate(c: Column) -> Column:
-    """Lines of fonts, styles, punctuation only or viewer notices go."""
-    bad = "(?i)^\\s*(?:[\\W_]*|(?:arial|times new roman|calibri|courier new|tahoma|verdana)\\b.*|[^;]*;[^;]*;[^;]*;.*|.*\\b(?:visualizador|javascript|clique aqui)\\b.*)\\s*$"
-    return F.array_join(F.filter(F.split(c, "\n"), lambda x: ~x.rlike(bad)), "\n")
+    """Viewer notices go out of their lines; lines of fonts, styles, generators, signs only or such notices go whole.
+
+    Semicolons alone don't make boilerplate: a line of findings parted by them stays. Blank lines stay.
+    """
+    for notice in NOTICES:
+        c = F.regexp_replace(c, notice, " ")
+
+    def fonts(low: Column) -> Column:
+        return sum((low.contains(f).cast("int") for f in FONTS), F.lit(0))
+
+    def boilerplate(x: Column) -> Column:
+        line, low, plain = F.trim(x), F.lower(F.trim(x)), norm_in_place(F.trim(x))
+        many = F.length(line) - F.length(F.replace(line, F.lit(";"), F.lit(""))) >= 3
+        listed = many & ((fonts(low) >= 1) | low.rlike("\\b(?:font|heading|colortbl|stylesheet|style)\\b") | line.rlike("^(?:[^;]{1,40};\\s*){5,}$"))
+        notice = plain.contains("laudo") & plain.contains("visualiza") & plain.rlike("rtf|imagem|viewer|sistema|especialista")
+        return listed | low.rlike("^(?:heading\\s*\\d+\\s*;\\s*){2,}heading\\s*\\d+\\s*;?$|created by|generator|html\\s*to\\s*rtf|jword|^[;,.\\-–—\\s]+$") | notice | (low.contains(";") & (fonts(low) >= 2) & (F.length(line) <= 160))
+
+    return F.trim(F.array_join(F.filter(F.split(c, "\n"), lambda x: ~boilerplate(x)), "\n"))
 
 
 def without_footer(c: Column) -> Column:
@@ -211,6 +235,17 @@ def sections(c: Column) -> Column:
     return F.aggregate(sentences(c), start, step)
 
 
+def canonical_title(title: Column, aliases: dict[str, list[str]]) -> Column:
+    """The organ or part whose alias a folded title begins with, the longest alias first; null for none."""
+    pairs = sorted(((a, name) for name, own in aliases.items() for a in own), key=lambda p: (-len(p[0]), p))
+    return F.coalesce(*(F.when(title.startswith(a), F.lit(name)) for a, name in pairs), F.lit(None).cast("string"))
+
+
+def anchored_sentences(c: Column, anchors: str) -> Column:
+    """One block for each sentence that an anchor stands in."""
+    return F.filter(sentences(c, "\n+|(?<=[.;!?])\\s+"), lambda s: norm_in_place(s).rlike(anchors))
+
+
 def blocks(c: Column, starts: str) -> Column:
     """Sentences joined to blocks; a new one begins with each sentence that matches. What comes before the first is a block too."""
 

@@ -74,12 +74,12 @@ def replaced(c: Column, table: list[tuple[str, str]]) -> Column:
 
 
 def stem(c: Column) -> Column:
-    """Light Portuguese stem of a folded word: plurals and the last vowel, with guards of length."""
-    w = F.regexp_replace(c, "[-_/]", "")
-    n = F.length(w)
-    w = F.when((n > 4) & w.endswith("oes"), F.concat(F.substring(w, F.lit(1), n - 3), F.lit("ao"))).when((n > 4) & w.endswith("ais"), F.concat(F.substring(w, F.lit(1), n - 3), F.lit("al"))).when((n > 4) & w.endswith("eis"), F.concat(F.substring(w, F.lit(1), n - 3), F.lit("el"))).when((n > 3) & w.endswith("s"), F.substring(w, F.lit(1), n - 1)).otherwise(w)
-    m = F.length(w)
-    return F.when((m > 4) & w.rlike("[ao]$") & ~w.endswith("ao"), F.substring(w, F.lit(1), m - 1)).otherwise(w)
+    """Light Portuguese stem of a folded word: joining signs, plurals and the last a or o, one rule after the other, each with its guard of length; words of up to three letters stay."""
+    word = F.regexp_replace(c, "[-_/]", "")
+    w = word
+    for ending, new, least in (("oes", "ao", 5), ("ais", "al", 5), ("eis", "el", 5), ("s", "", 5), ("[ao]", "", 6)):
+        w = F.when(F.length(w) >= least, F.regexp_replace(w, f"{ending}$", new)).otherwise(w)
+    return F.when(F.length(word) <= 3, word).otherwise(w)
 
 
 def decimal(c: Column) -> Column:

@@ -48,10 +48,10 @@ def local_time(c: Column, zone: str = "America/Sao_Paulo") -> Column:
 
 
 def clearance(creatinine: Column, age: Column, female: Column) -> Column:
-    """Creatinine clearance; -2 where a value is missing or not positive."""
-    a = age.cast("int")
+    """Creatinine clearance; -2 where creatinine or age is missing or creatinine not positive; a null sex counts as not female."""
+    a, female = age.cast("int"), F.coalesce(female, F.lit(False))
     base = 142 * F.when(female, F.pow(creatinine / 0.7, F.lit(-1.2))).otherwise(F.pow(creatinine / 0.9, F.lit(-1.2))) * F.pow(F.lit(0.9938), a)
-    return F.when((creatinine <= 0) | creatinine.isNull() | a.isNull() | female.isNull(), F.lit(-2.0)).otherwise(F.when(female, base * 1.012).otherwise(base))
+    return F.when((creatinine <= 0) | creatinine.isNull() | a.isNull(), F.lit(-2.0)).otherwise(F.when(female, base * 1.012).otherwise(base))
 
 
 def cockcroft_gault(creatinine: Column, age: Column, weight: Column, female: Column, height: Column) -> Column:
@@ -61,8 +61,8 @@ def cockcroft_gault(creatinine: Column, age: Column, weight: Column, female: Col
 
 
 def repaired_weight(w: Column) -> Column:
-    """Weights typed without their point."""
-    return F.when(w > 100_000, w / 1000).when(w > 10_000, w / 100).when(w > 250, w / 10).otherwise(w)
+    """Weights typed without their point: between 10,000 and 100,000 by a thousand, above by ten thousand, other ones over 250 (100,000 itself too) by ten."""
+    return F.when((w > 10_000) & (w < 100_000), w / 1000).when(w > 100_000, w / 10_000).when(w > 250, w / 10).otherwise(w)
 
 
 def in_range(c: Column, low: float, high: float) -> Column:

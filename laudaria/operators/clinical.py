@@ -1,20 +1,22 @@
 """Configurable engines over report texts: lexicons with negation, categories, measures, rule ladders.
 
-Everything is one expression per row: no report is exploded and gathered again, so no shuffle is needed. The lexicon is a parameter;
+Everything is one expression per row (that of ``category_words`` in Arrow batches, as it runs to a fixpoint): no report is exploded and gathered again, so no shuffle is needed. The lexicon is a parameter;
 what belongs to one specialty lives in its configuration, not here.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laudaria.functions.report import blocks, sentences, words
-from laudaria.functions.text import norm_in_place
+from laudaria.functions.text import norm_in_place, stem
 
 
 @dataclass(frozen=True)
@@ -98,8 +100,8 @@ def assess(df: DataFrame, text: str, lexicon: Lexicon) -> DataFrame:
     return out.withColumns({"achados": names(F.lit(False)), "negados": names(F.lit(True))}).withColumn("relevante", F.size("achados") > 0).drop("_hits")
 
 
-def assess_blocks(df: DataFrame, text: str, lexicon: Lexicon, strict_start: bool = True) -> DataFrame:
-    """Block rule: a block opens at each sentence with an organ; findings count only in blocks with a keyword.
+def assess_blocks(df: DataFrame, text: str, lexicon: Lexicon, strict_start: bool = True, whole: bool = False) -> DataFrame:
+    """Block rule: a block opens at each sentence with an organ; findings count only in blocks with a keyword. With ``whole`` the document is one block.
 
     Adds ``blocos``: ``array<struct<bloco, relevante, achados>>``, and ``relevante``.
     """
@@ -109,7 +111,7 @@ def assess_blocks(df: DataFrame, text: str, lexicon: Lexicon, strict_start: bool
         good = F.array_sort(F.array_distinct(F.transform(F.filter(found, lambda h: ~h["negated"]), lambda h: h["finding"])))
         return let(good, lambda g: F.struct(b.alias("bloco"), (F.size(g) > 0).alias("relevante"), g.alias("achados")))
 
-    out = df.withColumn("blocos", F.transform(blocks(F.col(text), _pattern(lexicon.organs)), one))
+    out = df.withColumn("blocos", F.transform(F.when(F.col(text).isNotNull(), F.array(text)) if whole else blocks(F.col(text), _pattern(lexicon.organs)), one))
     return out.withColumn("relevante", F.coalesce(F.exists("blocos", lambda b: b["relevante"]), F.lit(False)))
 
 
@@ -126,6 +128,54 @@ def near(text: Column, finding: str, organ: str, reach: int = 200) -> Column:
     return let(places, lambda p: F.exists(p["f"], lambda f: F.exists(p["o"], lambda o: F.least(F.abs(f - o), F.abs(f - (o + len(organ)))) <= reach)))
 
 
+def valid_terms(candidates: Column, seeds: list[str], generic: list[str]) -> Column:
+    """Of folded candidate terms those that can stand for the seeds: not empty, of two words or more if any seed is, no generic word by itself, and sharing a word or a stem with a seed."""
+    known = sorted({w for s in seeds for w in s.split()})
+    roots = F.array(*(stem(F.lit(w)) for w in known)) if known else F.array().cast("array<string>")
+    least = 2 if any(" " in s for s in seeds) else 1
+
+    def valid(t: Column) -> Column:
+        w = F.filter(F.split(F.trim(t), "\\s+"), lambda x: F.length(x) > 0)
+        shared = F.arrays_overlap(w, F.array(*(F.lit(x) for x in known))) | F.arrays_overlap(F.transform(w, stem), roots) if known else F.lit(False)
+        return let(w, lambda _: (F.size(w) >= least) & ~((F.size(w) == 1) & F.element_at(F.concat(w, F.array(F.lit(""))), 1).isin(generic)) & shared)
+
+    return F.filter(candidates, lambda t: F.coalesce(valid(t), F.lit(False)))
+
+
+def spans(text: Column, lexicon: Lexicon) -> Column:
+    """``array<struct<finding, start, end>>``: where the terms of each finding stand in a text, from 1, end exclusive; whole words only, nested terms included."""
+    low = norm_in_place(text)
+
+    def of(t: Column, finding: str, term: str) -> Column:
+        edge = lambda at: F.concat(F.lit(" "), t, F.lit(" ")).substr(at, F.lit(len(term) + 2)).rlike("^[^a-z0-9_].*[^a-z0-9_]$")
+        return F.transform(F.filter(_places(t, term), edge), lambda at: F.struct(F.lit(finding).alias("finding"), at.cast("int").alias("start"), (at + len(term)).cast("int").alias("end")))
+
+    return let(low, lambda t: F.array_sort(F.concat(*(of(t, k, x) for k, terms in lexicon.findings.items() for x in terms)), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["end"] - b["end"])))
+
+
+def nearest_in_sentences(text: Column, finding: str, organs: dict[str, list[str]], target: str, margin: int = 25) -> Column:
+    """Whether some sentence has the finding with the target as its nearest organ, by the middles of all mentions; an organ that is nearer by no more than ``margin`` doesn't count.
+
+    A sentence that doesn't name the target keeps its finding. All organs have to be given, not only the target. Null text: false.
+    """
+
+    def sentence(s: Column) -> Column:
+        def middle_of(t: str) -> Column:
+            return F.transform(_places(s, t), lambda at: at + len(t) / 2.0)
+
+        middles = lambda terms: F.concat(*(middle_of(t) for t in terms))
+        away = lambda f, terms: F.array_min(F.transform(middles(terms), lambda o: F.abs(f - o)))
+        others = [t for name, terms in organs.items() if name != target for t in terms]
+
+        def kept(f: Column) -> Column:
+            mine, theirs = away(f, organs[target]), away(f, others) if others else F.lit(None).cast("double")
+            return F.coalesce(mine <= theirs + margin, F.lit(True))
+
+        return F.exists(middles([finding]), kept)
+
+    return F.coalesce(F.exists(sentences(norm_in_place(text), "\n+|(?<=[.;!?])\\s+"), sentence), F.lit(False))
+
+
 def nearest(distances: dict[str, Column], target: str, margin: int = 25) -> Column:
     """Whether the target is the nearest of several organs, or loses by no more than the margin; null distances are absent organs."""
     others = [d for k, d in distances.items() if k != target]
@@ -133,33 +183,83 @@ def nearest(distances: dict[str, Column], target: str, margin: int = 25) -> Colu
     return F.coalesce(distances[target] <= best + margin, F.lit(True))
 
 
+#: What isn't a category in a structured breast report, in the order in which it goes; the whole list is run until nothing changes.
+NOT_A_CATEGORY = [
+    (r"\b\d{1,2}[.,]?\d*\s*(?:cm|h)\b", ""), (r"\b\d{1,2}/\d{1,2}/\d{2,4}\b", ""), (r"\b0(\d)\b", r"\1"),
+    (r"\b(?:ha|existem|existe|esquerda|esquerdo|controle|direito|direita)\s*(?!\(\s*\d+\s+\w+\s*\))\d+\b", ""), (r"\b\d{1,2}\s*mes(?:es)?\b", ""),
+    (r"(?m)^\d+\s*-\s*", ""), (r"(\d+)\s*-\s*[A-Za-z]{1,2}\b", r"\1"), (r"(\d+)\s*-\s*", r"\1"), (r"-", "_"), (r"\n(?:iv|v|iii)", " "), (r"\b\d+\s*(?:horas?|anos?)\b", " "),
+    (r"\n(?:ii|i)?", " "), (r"[^\w\s()]", ""), (r"\s+", " "), (r" _ ", " "), (r"categoria", " categoria "), (r"\d+\s*mes(?:es)?", " "), (r"\((\d+)\s+bi_rads\)", r"(bi_rads \1)"), (r"[^\w\s]", ""),
+]
+#: Spellings of the keyword, sizes, and the citation of the standard with what follows it.
+KEYWORD = r"\b(?:bi[ _]?rads?|br[ _]?rads|birads_acr|brads_acr|acr[ _]?(?:bi|br)rads|acrbi[ _]?rads|acr b[a-z][ _]?rads)\b"
+CITATIONS = [r"colegio americano (?:de )?radiologia bi_rads 5.? ed(?:icao)? 2013", r"relatorio baseado 5a edicao acr bi_rads", r"relatorio baseado.{25}", r"colegio americano.{30}", r"\b\d+\s*(?:mm|x|cm)\b"]
+SMALL_WORDS = ["ao", "aos", "as", "com", "da", "das", "de", "do", "dos", "em", "na", "nas", "no", "nos", "os", "ou", "para", "pela", "pelo", "por", "que", "se", "um", "uma"]
+
+
+def category_words(text: Column) -> Column:
+    """Words of a structured report, ready for ``category``: normalised until nothing changes, spellings of the keyword made one, citations and small words (of two letters and more) left out."""
+
+    @F.pandas_udf("array<string>")
+    def ready(texts: pd.Series) -> pd.Series:
+        rules = [(re.compile(p), r) for p, r in NOT_A_CATEGORY]
+        keyword, citations = re.compile(KEYWORD), [re.compile(p) for p in CITATIONS]
+
+        def one(t: str | None) -> list[str] | None:
+            if t is None:
+                return None
+            before = None
+            while t != before:  # every rule shortens the text or leaves it as it is, but for signs that become others once
+                before = t
+                t = unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower()
+                for pattern, new in rules:
+                    t = pattern.sub(new, t)
+                t = t.strip()
+            t = keyword.sub(" bi_rads ", t.replace("bi _rads", "bi_rads"))
+            for pattern in citations:
+                t = pattern.sub(" ", " ".join(t.split()))
+            return [w for w in t.split() if w not in SMALL_WORDS]
+
+        return texts.map(one)
+
+    return ready(text)
+
+
 def category(text: Column, before: int = 3, after: int = 2) -> Column:
-    """Category of a structured report: the numbers among the words near its keyword.
+    """Category of a structured report: the numbers among the words near its keyword, or in the keyword itself.
 
-    Small roman numerals between others count as numbers; only single digits count; keyword without a number: 0; a 9 beside exactly one other number, 7, 8: -1; the largest
-    wins; no keyword: -1.
+    Sizes, dates, ages, months of control and the citation of the standard are no categories (``category_words``). Small roman numerals between others
+    count as numbers; only single digits count; keyword without a number: 0; a 9 beside exactly one other number, 7, 8: -1; the largest wins; no keyword or null: -1.
     """
-    t = F.regexp_replace(norm_in_place(text), "[^a-z0-9_\\s]", " ")
-    t = F.regexp_replace(t, "(?<![a-z0-9_])(?:acr[ _]?)?b(?:i|r)[ _]?rads?(?![a-z0-9_])|(?<![a-z0-9_])birads?(?![a-z0-9_])", " bi_rads ")
     roman = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5"}
+    key = "^(?:bi_rads|birads|categoria)"
 
     def judge(w: Column) -> Column:
-        keys = F.filter(F.transform(w, lambda x, i: F.when(x.rlike("^(?:bi_rads|birads|categoria)"), i + 1)), lambda x: x.isNotNull())
-        around = F.flatten(F.transform(keys, lambda k: F.concat(F.slice(w, F.greatest(k - before, F.lit(1)), k - F.greatest(k - before, F.lit(1))), F.slice(w, k + 1, F.lit(after)))))
-        digits = F.filter(F.transform(around, lambda x: F.coalesce(*(F.when(x == r, d) for r, d in roman.items()), x)), lambda x: x.rlike("^[0-9]$"))
+        keys = F.filter(F.transform(w, lambda x, i: F.when(x.rlike(key), i + 1)), lambda x: x.isNotNull())
+        around = F.flatten(F.transform(keys, lambda k: F.concat(F.slice(w, F.greatest(k - before, F.lit(1)), k - F.greatest(k - before, F.lit(1))), F.slice(w, k, F.lit(after + 1)))))
+        written = F.transform(around, lambda x: F.coalesce(*(F.when(x == r, d) for r, d in roman.items()), x))
+        digits = F.filter(F.flatten(F.transform(written, lambda x: F.regexp_extract_all(x, F.lit("([0-9]+)"), 1))), lambda x: F.length(x) == 1)
         value = lambda g: F.array_max(F.transform(g, lambda d: F.when(d.isin("7", "8", "9"), F.lit(-1)).otherwise(d.cast("int"))))
         found = lambda g: F.when(F.size(g) == 0, 0).when((F.size(g) == 2) & F.array_contains(g, "9"), -1).otherwise(value(g))
-        return F.when(F.exists(w, lambda x: x.rlike("^(?:bi_rads|birads|categoria)")), let(digits, found)).otherwise(-1)
+        return F.when(F.size(keys) > 0, let(digits, found)).otherwise(-1)
+
+    return F.coalesce(let(category_words(text), judge), F.lit(-1))
 
-    return let(F.filter(F.split(t, "\\s+"), lambda x: F.length(x) > 0), judge)
+
+#: What comes before a measure, and what may stand between; else a nodule and the measure behind it.
+MEASURED = "(?iU)\\b(?:medindo|com|inferiores a|menores)(?:\\s+(?:cerca\\s+de|aprox\\.?|aproximadamente|que|do que|que fizeram|até|ate|em\\s+torno\\s+de))?\\s+(\\d+(?:\\.\\d+)?(?:\\s*x\\s*\\d+(?:\\.\\d+)?){0,2}\\s*(?:mm|cm))\\b"
+NODULE = "(?iU)\\bn[óo]dulos?\\b[^.]{0,120}?(?:\\bde\\b\\s*)?(\\d+(?:\\.\\d+)?\\s*(?:mm|cm))\\b"
 
 
 def largest_measure(sentence: Column) -> Column:
-    """Largest axis in millimetres of the measures in a sentence; what stands in brackets about an earlier exam doesn't count; null for none."""
-    s = F.regexp_replace(norm_in_place(sentence), "\\([^)]*(?:anterior|previo|controle)[^)]*\\)", " ")
-    found = F.regexp_extract_all(s, F.lit("(\\d+(?:[.,]\\d+)?(?:\\s*x\\s*\\d+(?:[.,]\\d+)?){0,2}\\s*(?:mm|cm))(?![a-z0-9])"), 1)
-    one = lambda m: F.array_max(F.transform(F.regexp_extract_all(m, F.lit("(\\d+(?:[.,]\\d+)?)"), 1), lambda n: F.regexp_replace(n, ",", ".").cast("double"))) * F.when(m.endswith("cm"), 10.0).otherwise(1.0)
-    return F.array_max(F.transform(found, one))
+    """Largest axis in millimetres of the measures that a cue announces ("medindo", "com", "menores que"), or else of those after "nódulo"; null for none.
+
+    What stands in brackets about an earlier exam or a comparison doesn't count. ``×`` is ``x``, a comma a point.
+    """
+    s = F.regexp_replace(sentence, "(?i)\\([^)]*(?:anterior|pr[eé]vio|comparad)[^)]*\\)", "")
+    s = F.replace(F.replace(s, F.lit("×"), F.lit("x")), F.lit(","), F.lit("."))
+    one = lambda m: F.array_max(F.transform(F.regexp_extract_all(m, F.lit("(\\d+(?:\\.\\d+)?)"), 1), lambda n: n.cast("double"))) * F.when(F.lower(m).endswith("cm"), 10.0).otherwise(1.0)
+    largest = lambda pattern: F.array_max(F.transform(F.regexp_extract_all(s, F.lit(pattern), 1), one))
+    return F.coalesce(largest(MEASURED), largest(NODULE))
 
 
 def gated_sentences(text: Column, terms: list[str], least_mm: float) -> Column:
@@ -184,10 +284,11 @@ def ladder(rules: list[tuple[Column, Column | str]], default: str | None = None)
     return out.otherwise(F.lit(default)) if out is not None else F.lit(default)
 
 
-def summary_line(text: Column, term: Column, width: int = 300) -> Column:
-    """The line that says best what was found: one of the conclusion, else the first that names the term, cut to ``width``."""
-    named = F.filter(sentences(text), lambda s: F.contains(norm_in_place(s), term))
-    late = F.filter(F.split(F.regexp_extract(text, "(?isU)(?:conclus[aã]o|impress[aã]o[^:\\n]*|opini[aã]o)\\s*:\\s*(.*)$", 1), "\n"), lambda s: F.contains(norm_in_place(s), term))
+def summary_line(text: Column, term: Column, width: int = 300, negators: tuple[str, ...] = ("sem", "nao", "ausencia", "ausente", "negativo")) -> Column:
+    """The line that says best what was found: one of the conclusion, else the first that names the term, cut to ``width``; lines that deny something don't count, and without another there is none."""
+    denied = lambda s: norm_in_place(s).rlike(_pattern(list(negators)))
+    named = F.filter(sentences(text), lambda s: F.contains(norm_in_place(s), term) & ~denied(s))
+    late = F.filter(F.split(F.regexp_extract(text, "(?isU)(?:conclus[aã]o|impress[aã]o[^:\\n]*|opini[aã]o)\\s*:\\s*(.*)$", 1), "\n"), lambda s: F.contains(norm_in_place(s), term) & ~denied(s))
     return F.substring(F.coalesce(F.get(late, 0), F.get(named, 0)), 1, width)
 
 

@@ -71,8 +71,7 @@ def _(s, d):
 
 @query("prj3_lateral_alias", f"SELECT id_exame, lower(trim(tp_procedimento)) AS tipo, length(lower(trim(tp_procedimento))) AS tamanho FROM {EXAM}")
 def _(s, d):
-    table(s, d, EXAM).createOrReplaceTempView("_prj3")
-    return s.sql("SELECT id_exame, lower(trim(tp_procedimento)) AS tipo, CAST(length(tipo) AS BIGINT) AS tamanho FROM _prj3")
+    return table(s, d, EXAM).selectExpr("id_exame", "lower(trim(tp_procedimento)) AS tipo", "CAST(length(tipo) AS BIGINT) AS tamanho")
 
 
 @query("prj5_synthetic_key", f"SELECT exm_an, replace(CAST(exm_data AS VARCHAR), '-', '') || id_pct AS chave FROM {DII}")
@@ -168,14 +167,16 @@ def _(s, d):
 _LATEST_PATIENT = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_paciente ORDER BY etl_data_atualizacao_carga_gold DESC NULLS LAST, cli_telefone_numero DESC NULLS LAST) AS n FROM {PATIENT}) WHERE n = 1)"
 
 
-def latest_patients(s, d) -> DataFrame:
-    return rel.latest(table(s, d, PATIENT), ["id_paciente"], ["etl_data_atualizacao_carga_gold", "cli_telefone_numero"])
+def latest_patients(s, d, *columns: str) -> DataFrame:
+    """The newest row of each patient; only the columns asked for are read."""
+    order = ["etl_data_atualizacao_carga_gold", "cli_telefone_numero"]
+    return rel.latest(table(s, d, PATIENT).select("id_paciente", *order, *(c for c in columns if c not in order)), ["id_paciente"], order)
 
 
 @query("jn1_exam_patient", f"SELECT e.id_exame, e.etl_data_atualizacao_carga_gold AS carga, e.id_patient, p.cli_nome FROM {EXAM} e LEFT JOIN {_LATEST_PATIENT} p ON p.id_paciente = e.id_patient")
 def _(s, d):
     e = table(s, d, EXAM).select("id_exame", F.col("etl_data_atualizacao_carga_gold").alias("carga"), "id_patient")
-    p = latest_patients(s, d).select(F.col("id_paciente").alias("id_patient"), "cli_nome")
+    p = latest_patients(s, d, "cli_nome").select(F.col("id_paciente").alias("id_patient"), "cli_nome")
     return e.join(p, "id_patient", "left").select("id_exame", "carga", "id_patient", "cli_nome")
 
 

@@ -85,9 +85,9 @@ def _(s, d):
     return _reports(s, d, COLON).select(*_KEY, F.size(rp.sentences(F.col("t"), "\n")).cast("long").alias("frases"))
 
 
-@query("txt19_tokens", "SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]')) AS tokens FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\\x00-\\x7f\\xa1-\\xff]')")
+@query("txt19_tokens", "SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]')) AS tokens FROM documents WHERE text IS NOT NULL")
 def _(s, d):
-    return table(s, d, "documents").filter(F.col("text").isNotNull() & ~F.col("text").rlike("[^\\x00-\\x7f\\xa1-\\xff]")).select("doc_id", F.size(rp.tokens(F.col("text"))).cast("long").alias("tokens"))
+    return table(s, d, "documents").filter("text is not null").select("doc_id", F.size(rp.tokens(F.col("text"))).cast("long").alias("tokens"))
 
 
 @query("txt20_ngrams", f"SELECT exm_an, dataExecucaoModelo, len(list_distinct(list_concat(w, list_concat(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]), list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))))) AS ngramas FROM (SELECT exm_an, dataExecucaoModelo, list_filter(regexp_extract_all(lower(translate(exm_titulo, '{MARKED}', '{PLAIN}')), '[a-z0-9_]+'), lambda x: regexp_matches(x, '^[a-z]+$') AND length(x) >= 3) AS w FROM {DII} WHERE exm_titulo IS NOT NULL)")
@@ -102,9 +102,9 @@ def _(s, d):
 
 @query("txt22_organ_sections")
 def _(s, d):
-    alias = F.create_map(*(F.lit(x) for pair in (("tecnica", "metodo"), ("conclusao", "conclusao"), ("impressao diagnostica", "conclusao"), ("opiniao", "conclusao")) for x in pair))
+    aliases = {"metodo": ["tecnica", "metodo"], "conclusao": ["conclus", "impressao", "opiniao"]}
     secs = _reports(s, d).select(*_KEY, F.explode(rp.sections(F.col("t"))).alias("x")).filter("x.title is not null")
-    return secs.select(*_KEY, F.coalesce(alias[F.col("x.title")], F.lit("corpo")).alias("parte"), F.length("x.body").alias("tamanho"))
+    return secs.select(*_KEY, F.coalesce(rp.canonical_title(F.col("x.title"), aliases), F.lit("corpo")).alias("parte"), F.length("x.body").alias("tamanho"))
 
 
 @query("txt23_txt24_anchored_sentences", f"SELECT exm_an, dataExecucaoModelo, len(list_filter(string_split({_LOW}, chr(10)), lambda x: regexp_matches(x, '(^|[^a-z0-9_])(ileo|colon)([^a-z0-9_]|$)'))) AS blocos FROM {DII} WHERE exm_laudo_texto IS NOT NULL")
@@ -125,6 +125,88 @@ def _(s, d):
 
 # engines
 
+def _forms(s, rows: list[tuple], schema: str):
+    """Written forms with what is expected of each worked out by hand; the SQL has the same table."""
+    return s.createDataFrame([(i, *r[:-1]) for i, r in enumerate(rows)], f"caso int, {schema}")
+
+
+def _expected(rows: list[tuple], name: str, kind: str) -> str:
+    said = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v).lower()
+    return f"SELECT CAST(caso AS INTEGER) AS caso, CAST({name} AS {kind}) AS {name} FROM (VALUES {', '.join(f'({i}, {said(r[-1])})' for i, r in enumerate(rows))}) v(caso, {name})"
+
+
+CATEGORIES = [
+    ("Conclusão: BI-RADS 2. Controle em 6 meses.", 2), ("BI-RADS 3, 6 meses", 3), ("Categoria BI-RADS IV", 4), ("Impressão: BIRADS4", 4), ("Mamas sem achados", -1), ("BI-RADS a definir", 0), ("ACR BI-RADS 5 em 12/03/2024", 5),
+    ("BI RADS 0", 0), ("Nódulo de 8 mm às 3 horas. BI-RADS 4", 4), ("Direita: BI-RADS 2. Esquerda: BI-RADS 4.", 4), ("Relatório baseado na 5a edição do ACR BI-RADS 2013", -1), ("BI-RADS 9 e 2", -1), ("Categoria 7", -1), ("BI-RADS 1, rever em 1 ano", 1), ("", -1), (None, -1),
+]
+MEASURES = [
+    ("Nódulo medindo 30 × 12 mm", 30.0), ("Cortes de 50 mm; nódulo medindo 8 mm", 8.0), ("Nódulo medindo 8 mm (comparado a 20 mm)", 8.0), ("Nódulo de 1,2 cm", 12.0), ("Cisto de 3 cm", None), ("Nódulos menores que 4 mm", 4.0),
+    ("Lesão com 2 x 3,5 x 1 cm (anterior de 9 cm)", 35.0), ("Nódulo sólido no lobo superior, 7 mm", None), ("Nódulo sólido no lobo superior com 7 mm", 7.0), ("Medindo cerca de 0,9 cm", 9.0), ("Sem nódulos", None), (None, None),
+]
+LINES = [
+    ("Fígado: normal; baço: normal; rins: normais; pâncreas: normal", "Fígado: normal; baço: normal; rins: normais; pâncreas: normal"), ("Arial; Calibri; Symbol; x\nFígado normal.", "Fígado normal."), ("heading 1; heading 2; heading 3\nA", "A"), ("A\n---\nB", "A\nB"),
+    ("um; dois; três; quatro; cinco;", ""), ("Laudo gerado por um sistema especialista. Normal.", "Normal."), ("Exame por habilitação de javascript", "Exame por habilitação de javascript"), (None, None),
+]
+NEAREST = [
+    ("Íleo e cólon: espessamento do íleo.", True), ("Espessamento do cólon, distante trinta e tantos caracteres de todo o íleo.", False), ("Espessamento difuso.", True), ("Íleo normal. Espessamento do cólon.", True), ("Cólon com espessamento; íleo normal.", True), ("Íleo normal.", False), (None, False),
+]
+TERMS = [
+    ("sinovite do joelho", True), ("lesoes meniscais", True), ("lesao", False), ("", False), ("cisto simples", False), ("espessamento sinovial", True), (None, False),
+]
+SUMMARIES = [
+    ("Íleo com espessamento.\nCONCLUSÃO:\nEspessamento do íleo.", "Espessamento do íleo."), ("Espessamento parietal.\nCONCLUSÃO:\nSem espessamento.", "Espessamento parietal."), ("Sem espessamento.", None), (None, None),
+]
+SPANS = [("Estenose e nova estenose.", "estenose:1-9 estenose:17-25"), ("Coleções; coleção parietal", "colecao:11-18"), ("Preestenose", ""), (None, None)]
+
+
+@query("eng14_eng15_txt14_txt15_forms", _expected(CATEGORIES, "categoria", "INTEGER"))
+def _(s, d):
+    return _forms(s, CATEGORIES, "t string").select("caso", cl.category(F.col("t")).alias("categoria"))
+
+
+@query("eng19_mth4_forms", _expected(MEASURES, "eixo_mm", "DOUBLE"))
+def _(s, d):
+    return _forms(s, MEASURES, "t string").select("caso", cl.largest_measure(F.col("t")).alias("eixo_mm"))
+
+
+@query("txt9_forms", _expected(LINES, "texto", "VARCHAR"))
+def _(s, d):
+    return _forms(s, LINES, "t string").select("caso", rp.without_boilerplate(F.col("t")).alias("texto"))
+
+
+@query("eng9_forms", _expected(NEAREST, "alvo", "BOOLEAN"))
+def _(s, d):
+    return _forms(s, NEAREST, "t string").select("caso", cl.nearest_in_sentences(F.col("t"), "espessamento", {"ileo": ["ileo"], "colon": ["colon"]}, "ileo", 5).alias("alvo"))
+
+
+@query("eng3_forms", _expected(TERMS, "valido", "BOOLEAN"))
+def _(s, d):
+    kept = cl.valid_terms(F.array("t"), ["sinovite", "lesao meniscal", "espessamento sinovial"], ["lesao", "cisto"])
+    return _forms(s, TERMS, "t string").select("caso", (F.size(kept) > 0).alias("valido"))
+
+
+@query("eng12_forms", _expected(SUMMARIES, "resumo", "VARCHAR"))
+def _(s, d):
+    return _forms(s, SUMMARIES, "t string").select("caso", cl.summary_line(F.col("t"), F.lit("espessamento")).alias("resumo"))
+
+
+@query("eng6_forms", _expected(SPANS, "onde", "VARCHAR"))
+def _(s, d):
+    where = F.transform(cl.spans(F.col("t"), BOWEL), lambda x: F.concat(x["finding"], F.lit(":"), x["start"].cast("string"), F.lit("-"), x["end"].cast("string")))
+    return _forms(s, SPANS, "t string").select("caso", F.array_join(where, " ").alias("onde"))
+
+
+@query("eng6_spans", f"SELECT exm_an, dataExecucaoModelo, regexp_matches({_LOW}, '(^|[^a-z0-9_])estenose([^a-z0-9_]|$)') AS presente FROM {DII} WHERE exm_laudo_texto IS NOT NULL")
+def _(s, d):
+    lex = cl.Lexicon(findings={"estenose": ["estenose"]})
+    return _reports(s, d).select(*_KEY, (F.size(cl.spans(F.col("t"), lex)) > 0).alias("presente"))
+
+
+@query("txt24_whole_document", f"SELECT exm_an, dataExecucaoModelo, CAST(1 AS INTEGER) AS blocos FROM {DII} WHERE exm_laudo_texto IS NOT NULL")
+def _(s, d):
+    return cl.assess_blocks(_reports(s, d), "t", BOWEL, whole=True).select(*_KEY, F.size("blocos").alias("blocos"))
+
+
 
 @query("eng1_eng2_block_rule")
 def _(s, d):

@@ -88,10 +88,16 @@ def _(s, d):
     return table(s, d, PATIENT).filter("cli_nome is not null").select("id_paciente", tx.token_sort(F.col("cli_nome")).alias("nome"))
 
 
-_STEM = "CASE WHEN length(w) > 4 AND w LIKE '%oes' THEN left(w, length(w) - 3) || 'ao' WHEN length(w) > 4 AND w LIKE '%ais' THEN left(w, length(w) - 3) || 'al' WHEN length(w) > 4 AND w LIKE '%eis' THEN left(w, length(w) - 3) || 'el' WHEN length(w) > 3 AND w LIKE '%s' THEN left(w, length(w) - 1) ELSE w END"
+def _rule(of: str, least: int, ending: str, new: str) -> str:
+    return f"CASE WHEN length({of}) >= {least} THEN regexp_replace({of}, '{ending}$', '{new}') ELSE {of} END"
 
 
-@query("str14_stem", f"SELECT w AS palavra, CASE WHEN length(r) > 4 AND regexp_matches(r, '[ao]$') AND r NOT LIKE '%ao' THEN left(r, length(r) - 1) ELSE r END AS raiz FROM (SELECT w, {_STEM} AS r FROM (SELECT DISTINCT unnest(regexp_extract_all(lower({_fold('text')}), '[a-z]+')) AS w FROM documents WHERE text IS NOT NULL))")
+_STEM = "SELECT w, w AS r FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(" + _fold("text") + "), '[a-z]+')) AS w FROM documents WHERE text IS NOT NULL)"
+for _least, _ending, _new in ((5, "oes", "ao"), (5, "ais", "al"), (5, "eis", "el"), (5, "s", ""), (6, "[ao]", "")):
+    _STEM = f"SELECT w, {_rule('r', _least, _ending, _new)} AS r FROM ({_STEM})"
+
+
+@query("str14_stem", f"SELECT w AS palavra, CASE WHEN length(w) <= 3 THEN w ELSE r END AS raiz FROM ({_STEM})")
 def _(s, d):
     words = table(s, d, "documents").select(F.explode(F.regexp_extract_all(tx.norm_in_place(F.col("text")), F.lit("([a-z]+)"), 1)).alias("palavra")).distinct()
     return words.select("palavra", tx.stem(F.col("palavra")).alias("raiz"))
@@ -113,16 +119,10 @@ def _(s, d):
     return table(s, d, DII).select("exm_an", "dataExecucaoModelo", tx.exam_type(F.col("exm_titulo")).alias("tipo"))
 
 
-@query("dat1_dat2_age", f"SELECT exm_an, dataExecucaoModelo, CAST(date_diff('year', pct_datanasc, exm_data) - CASE WHEN strftime(exm_data, '%m%d') < strftime(pct_datanasc, '%m%d') THEN 1 ELSE 0 END AS INTEGER) AS anos, CAST(floor(date_diff('day', pct_datanasc, exm_data) / 365.25) AS INTEGER) AS anos_dias FROM {DII} WHERE strftime(pct_datanasc, '%d') < '28'")
-def _(s, d):
-    t = table(s, d, DII).filter(F.dayofmonth("pct_datanasc") < 28)
-    return t.select("exm_an", "dataExecucaoModelo", vl.age_by_months(F.col("pct_datanasc"), F.col("exm_data")).alias("anos"), vl.age_by_days(F.col("pct_datanasc"), F.col("exm_data")).alias("anos_dias"))
-
-
 _MONTH_END = "(last_day(exm_data) = exm_data AND last_day(pct_datanasc) = pct_datanasc)"
 
 
-@query("dat1_dat2_age_whole", f"SELECT exm_an, dataExecucaoModelo, CAST(date_diff('year', pct_datanasc, exm_data) - CASE WHEN strftime(exm_data, '%m%d') < strftime(pct_datanasc, '%m%d') AND NOT (month(exm_data) = month(pct_datanasc) AND {_MONTH_END}) THEN 1 ELSE 0 END AS INTEGER) AS anos, CAST(floor(date_diff('day', pct_datanasc, exm_data) / 365.25) AS INTEGER) AS anos_dias FROM {DII}")
+@query("dat1_dat2_age", f"SELECT exm_an, dataExecucaoModelo, CAST(date_diff('year', pct_datanasc, exm_data) - CASE WHEN strftime(exm_data, '%m%d') < strftime(pct_datanasc, '%m%d') AND NOT (month(exm_data) = month(pct_datanasc) AND {_MONTH_END}) THEN 1 ELSE 0 END AS INTEGER) AS anos, CAST(floor(date_diff('day', pct_datanasc, exm_data) / 365.25) AS INTEGER) AS anos_dias FROM {DII}")
 def _(s, d):
     t = table(s, d, DII)
     return t.select("exm_an", "dataExecucaoModelo", vl.age_by_months(F.col("pct_datanasc"), F.col("exm_data")).alias("anos"), vl.age_by_days(F.col("pct_datanasc"), F.col("exm_data")).alias("anos_dias"))
@@ -164,9 +164,9 @@ def _(s, d):
 _CR = "l_quantity / 10"
 
 
-@query("mth1_clearance", f"SELECT l_orderkey, l_linenumber, round(CASE WHEN cr <= 0 THEN -2.0 WHEN fem THEN 142 * pow(cr / 0.7, -1.2) * pow(0.9938, age) * 1.012 ELSE 142 * pow(cr / 0.9, -1.2) * pow(0.9938, age) END, 6) AS clearance FROM (SELECT l_orderkey, l_linenumber, {_CR} AS cr, CAST(20 + l_partkey % 70 AS INTEGER) AS age, l_returnflag = 'R' AS fem FROM lineitem)")
+@query("mth1_clearance", f"SELECT l_orderkey, l_linenumber, round(CASE WHEN cr <= 0 THEN -2.0 WHEN fem THEN 142 * pow(cr / 0.7, -1.2) * pow(0.9938, age) * 1.012 ELSE 142 * pow(cr / 0.9, -1.2) * pow(0.9938, age) END, 6) AS clearance FROM (SELECT l_orderkey, l_linenumber, {_CR} AS cr, CAST(20 + l_partkey % 70 AS INTEGER) AS age, CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END AS fem FROM lineitem)")
 def _(s, d):
-    v = vl.clearance(F.col("l_quantity") / 10, 20 + F.col("l_partkey") % 70, F.col("l_returnflag") == "R")
+    v = vl.clearance(F.col("l_quantity") / 10, 20 + F.col("l_partkey") % 70, F.when(F.col("l_returnflag") == "R", True).when(F.col("l_returnflag") == "A", False))
     return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(v, 6).alias("clearance"))
 
 
@@ -177,7 +177,7 @@ def _(s, d):
     return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(v, 6).alias("clearance"))
 
 
-@query("mth3_repaired_weight", "SELECT o_orderkey, round(CASE WHEN o_totalprice > 100000 THEN o_totalprice / 1000 WHEN o_totalprice > 10000 THEN o_totalprice / 100 WHEN o_totalprice > 250 THEN o_totalprice / 10 ELSE o_totalprice END, 6) AS peso FROM orders")
+@query("mth3_repaired_weight", "SELECT o_orderkey, round(CASE WHEN o_totalprice > 10000 AND o_totalprice < 100000 THEN o_totalprice / 1000 WHEN o_totalprice > 100000 THEN o_totalprice / 10000 WHEN o_totalprice > 250 THEN o_totalprice / 10 ELSE o_totalprice END, 6) AS peso FROM orders")
 def _(s, d):
     return table(s, d, "orders").select("o_orderkey", F.round(vl.repaired_weight(F.col("o_totalprice")), 6).alias("peso"))
 
@@ -189,10 +189,9 @@ def _(s, d):
     return e.join(one, F.lit(True)).select("vec_id", F.round(vl.cosine(F.col("embedding"), F.col("q")), 5).alias("cosseno"))
 
 
-@query("arr1_joined_reports", f"SELECT id_exame, etl_data_atualizacao_carga_gold AS carga, array_to_string(list_transform(proced_lista_exames, lambda x: x.nme_exame || ': ' || length(x.laudo_transformado)), ' | ') AS resumo FROM {EXAM} WHERE proced_lista_exames IS NOT NULL AND len(list_filter(proced_lista_exames, lambda x: x.nme_exame IS NULL OR x.laudo_transformado IS NULL)) = 0")
+@query("arr1_joined_reports", f"SELECT id_exame, etl_data_atualizacao_carga_gold AS carga, CASE WHEN proced_lista_exames IS NOT NULL THEN coalesce(array_to_string(list_transform(proced_lista_exames, lambda x: x.nme_exame || ': ' || length(x.laudo_transformado)), ' | '), '') END AS resumo FROM {EXAM}")
 def _(s, d):
-    e = table(s, d, EXAM).filter(F.col("proced_lista_exames").isNotNull() & ~F.exists("proced_lista_exames", lambda x: x["nme_exame"].isNull() | x["laudo_transformado"].isNull()))
-    return e.select("id_exame", F.col("etl_data_atualizacao_carga_gold").alias("carga"), F.array_join(F.transform("proced_lista_exames", lambda x: F.concat(x["nme_exame"], F.lit(": "), F.length(x["laudo_transformado"]).cast("string"))), " | ").alias("resumo"))
+    return table(s, d, EXAM).select("id_exame", F.col("etl_data_atualizacao_carga_gold").alias("carga"), F.array_join(F.transform("proced_lista_exames", lambda x: F.concat(x["nme_exame"], F.lit(": "), F.length(x["laudo_transformado"]).cast("string"))), " | ").alias("resumo"))
 
 
 @query("arr2_exploded", f"SELECT id_exame, etl_data_atualizacao_carga_gold AS carga, len(proced_lista_exames) AS exames FROM {EXAM} WHERE len(proced_lista_exames) > 0")

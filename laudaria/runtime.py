@@ -13,11 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of ``spark.checkpoint.dir``; only where that is unset (tests), a folder of our own."""
+    """Use the shared folder of ``spark.checkpoint.dir``; only where that is unset and all runs on this machine (tests), a folder of our own.
+
+    Files of checkpoints are removed with their tables if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="laudaria-ckpt-"))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="laudaria-ckpt-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
