@@ -39,7 +39,7 @@ _TAGS = "(?:/|!|(?:a|abbr|b|body|br|center|code|div|dd|dl|dt|em|font|footer|form
 #: Strong evidence (fixed values): a plain string that must be there, and the pattern looked for only where it is. First on the text as it is.
 TEMPLATE = [
     ("{", f"\\{{\\{{? ?{_NAME} ?\\}}"), ("[[", f"\\[\\[ ?{_NAME} ?\\]\\]"), ("@@", f"@@ ?{_NAME} ?@@"), ("<<", f"<< ?{_NAME} ?>>"), ("__", "(?<!_)__[A-Za-z][A-Za-z0-9_ ]{0,40}?[A-Za-z0-9]__(?!_)"), ("«", f"« ?{_FIELD} ?»"),
-    ("%", f"%{_NAME}%"), ("#", f"#{_NAME}#"), ("$", f"\\${_NAME}\\$"), ("&lt;", f"&lt; ?(?!{_TAGS}){_NAME} ?&gt;"), ("<", f"<(?!{_TAGS}) ?{_FIELD} ?>|<(?i:null|none|nan|undefined|vazio)>"),
+    ("%", f"%{_NAME}%"), ("#", f"#{_NAME}#"), ("#", "#(?:N/[DA]|REF!|VALOR!|VALUE!|DIV/0!|NOME\\?|NAME\\?|N[UÚ]M!|NULO!|NULL!)"), ("$", f"\\${_NAME}\\$"), ("&lt;", f"&lt; ?(?!{_TAGS}){_NAME} ?&gt;"), ("<", f"<(?!{_TAGS}) ?{_FIELD} ?>|<(?i:null|none|nan|undefined|vazio)>"),
     ("[", "\\[(?i:inserir|preencher|informar|digitar|digite|colocar|completar|selecionar|escolher|insert|fill in) [^\\]\\n]{1,60}\\]|\\[[^\\[\\]\\n]{1,60} (?i:aqui|here)\\]"), ("<", "<(?i:inserir|preencher|informar|digitar|digite|colocar|completar|selecionar|escolher) [^>\\n]{1,60}>"), ("(", "\\((?i:inserir|preencher|informar|digitar|digite|colocar|completar|selecionar|escolher) [^)\\n]{1,60}\\)"),
     ("___", f"_{{3,}} ?{_UNIT}(?![A-Za-z])|(?i:medindo|de|com|em|até|por|cerca de|a) _{{3,}}+(?!\\s*(?:\\n|$))"), ("....", f"\\.{{4,}} ?{_UNIT}(?![A-Za-z])"), (" ...", "(?i:medindo|medida|mede) \\.{3,}"),
     *((x, f"(?<![A-Za-z])(?:XX+|xx+|X,X+|x,x+|NaN|null|undefined|None|\\?{{2,}}) ?{_UNIT}(?![A-Za-z])") for x in ("XX", "xx ", "X,X", "x,x", "NaN", "null ", "undefined ", "None ", "?? ")),

@@ -107,6 +107,18 @@ def test_recurrent_weak_lines_are_boilerplate(spark):
     assert [r[0] for r in residue.found(df, ["exm_an"]).collect()] == ["x"]
 
 
+@pytest.mark.parametrize("text", ["Clipe metálico a #N/D da lesão.", "Volume de #DIV/0! mL.", "Texto da conclusão haxum testim.", "TÉCNICA:\nTexto da análise opliqua.", "Laudo normal.\nTeste de integração 12"])
+def test_values_of_broken_templates_and_filler(text):
+    found = residue.Evidence().of(text)
+    assert found["strong"] or any(x["sure"] for x in found["lines"])
+
+
+@pytest.mark.parametrize("text", ["Série # 12 com contraste.", "No texto da análise anterior consta cisto.", "Teste de integração visual normal à beira do leito."])
+def test_words_alike_are_no_residue(text):
+    found = residue.Evidence().of(text)
+    assert not found["strong"] and not found["lines"]
+
+
 def test_a_footer_of_a_portal_is_no_residue(spark):
     body = "Fígado de dimensões normais, contornos regulares. Vesícula biliar sem cálculos. Baço e pâncreas sem alterações evidentes. Rins tópicos, sem dilatação. Exame {} sem líquido livre."
     footer = "Para ver as imagens habilite o JavaScript no navegador."
