@@ -226,7 +226,7 @@ def _(s, d):
 
 @query("jn9_latest_lookup", f"SELECT t.exm_an, t.dataExecucaoModelo, p.cli_genero FROM {NEURO} t JOIN {_LATEST_PATIENT} p ON p.id_paciente = t.id_pct")
 def _(s, d):
-    return table(s, d, NEURO).select("exm_an", "dataExecucaoModelo", F.col("id_pct").alias("id_paciente")).join(latest_patients(s, d).select("id_paciente", "cli_genero"), "id_paciente").select("exm_an", "dataExecucaoModelo", "cli_genero")
+    return table(s, d, NEURO).select("exm_an", "dataExecucaoModelo", F.col("id_pct").alias("id_paciente")).join(latest_patients(s, d, "cli_genero").select("id_paciente", "cli_genero"), "id_paciente").select("exm_an", "dataExecucaoModelo", "cli_genero")
 
 
 @query("jn10_derived_key", "SELECT o_orderkey, c_name FROM (SELECT o_orderkey, 'Customer/' || o_custkey AS ref FROM orders) o JOIN customer ON c_custkey = CAST(replace(ref, 'Customer/', '') AS BIGINT)")
@@ -363,7 +363,7 @@ def _(s, d):
 def _(s, d):
     e = table(s, d, EXAM).select("id_exame", "id_unidade", "id_patient", "dt_dia_exame", "etl_data_atualizacao_carga_gold")
     e = rel.latest(e, ["id_exame"], ["etl_data_atualizacao_carga_gold"])
-    p = latest_patients(s, d).select(F.col("id_paciente").alias("id_patient"), "cli_nome")
+    p = latest_patients(s, d, "cli_nome").select(F.col("id_paciente").alias("id_patient"), "cli_nome")
     return e.join(p, "id_patient", "left").select("id_exame", "id_unidade", "dt_dia_exame", F.col("etl_data_atualizacao_carga_gold").alias("carga"), "cli_nome")
 
 

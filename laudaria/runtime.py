@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+SMALL_SPLIT = 64 << 20  #: bytes of a split below which a shuffle costs less than tasks that stand idle
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one parquet table; column pruning and filters reach the scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,4 +42,8 @@ def spread(df: DataFrame) -> DataFrame:
     A large input already has many splits and passes through without a shuffle.
     """
     n = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if re.search(r"\b(?:Join|Aggregate|Repartition|RepartitionByExpression|Window|Sort|Deduplicate|Distinct)\b", plan.toString()):
+        # counting the splits of a plan with a shuffle would run it; its size says whether they can be few
+        return df.repartition(n) if int(plan.stats().sizeInBytes().toString()) < n * SMALL_SPLIT else df
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -38,6 +38,11 @@ def write_per_unit(df: DataFrame, path: str, unit: str) -> None:
     df.write.mode("overwrite").partitionBy(unit).parquet(path)
 
 
+def of_unit(df: DataFrame, unit: str, wanted: str) -> DataFrame:
+    """The rows of one unit; ``todas`` asks for all, those without a unit included."""
+    return df if wanted == "todas" else df.filter(F.col(unit) == wanted)
+
+
 def single_file(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """One file, for small exports."""
     w = df.coalesce(1).write.mode("overwrite")
