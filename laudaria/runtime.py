@@ -45,5 +45,5 @@ def spread(df: DataFrame) -> DataFrame:
     plan = df._jdf.queryExecution().optimizedPlan()
     if re.search(r"\b(?:Join|Aggregate|Repartition|RepartitionByExpression|Window|Sort|Deduplicate|Distinct)\b", plan.toString()):
         # counting the splits of a plan with a shuffle would run it; its size says whether they can be few
-        return df.repartition(n) if int(plan.stats().sizeInBytes().toString()) < n * SMALL_SPLIT else df
+        return df.repartition(n) if int(str(plan.stats().sizeInBytes())) < n * SMALL_SPLIT else df
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
