@@ -122,7 +122,11 @@ def _(s, d):
 _MONTH_END = "(last_day(exm_data) = exm_data AND last_day(pct_datanasc) = pct_datanasc)"
 
 
-@query("dat1_dat2_age", f"SELECT exm_an, dataExecucaoModelo, CAST(date_diff('year', pct_datanasc, exm_data) - CASE WHEN strftime(exm_data, '%m%d') < strftime(pct_datanasc, '%m%d') AND NOT (month(exm_data) = month(pct_datanasc) AND {_MONTH_END}) THEN 1 ELSE 0 END AS INTEGER) AS anos, CAST(floor(date_diff('day', pct_datanasc, exm_data) / 365.25) AS INTEGER) AS anos_dias FROM {DII}")
+_AGES = f"SELECT exm_an, dataExecucaoModelo, CAST(date_diff('year', pct_datanasc, exm_data) - CASE WHEN strftime(exm_data, '%m%d') < strftime(pct_datanasc, '%m%d') AND NOT (month(exm_data) = month(pct_datanasc) AND {_MONTH_END}) THEN 1 ELSE 0 END AS INTEGER) AS anos, CAST(floor(date_diff('day', pct_datanasc, exm_data) / 365.25) AS INTEGER) AS anos_dias FROM {DII}"
+
+
+@query("dat1_dat2_age", _AGES)
+@query("dat1_dat2_age_whole", _AGES)  # the name it had beside a narrower query
 def _(s, d):
     t = table(s, d, DII)
     return t.select("exm_an", "dataExecucaoModelo", vl.age_by_months(F.col("pct_datanasc"), F.col("exm_data")).alias("anos"), vl.age_by_days(F.col("pct_datanasc"), F.col("exm_data")).alias("anos_dias"))
